@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -37,6 +38,15 @@ def all_groups(text: Column, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once per row.
+
+    A plain reference would be copied by the optimizer into every lambda that uses it and then be
+    computed once per element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def unescape(text: Column) -> Column:
     for entity, character in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(character))
@@ -80,15 +90,17 @@ def page_urls(base: Column, last: Column) -> Column:
 
 def authors_from_text(names: Column, anchors: Column) -> Column:
     """Comma-separated names; each takes the link of the first anchor of the same text."""
-    return F.transform(
-        F.split(names, ","),
-        lambda part: F.struct(
-            F.trim(part).alias("name"),
-            F.get(F.filter(anchors, lambda a: a["name"] == F.trim(part)), F.lit(0))["link"].alias(
-                "link"
-            ),
-        ),
-    )
+
+    def linked(people: Column) -> Column:
+        def one(part: Column) -> Column:
+            same = F.filter(people, lambda a: a["name"] == F.trim(part))
+            return F.struct(
+                F.trim(part).alias("name"), F.get(same, F.lit(0))["link"].alias("link")
+            )
+
+        return F.transform(F.split(names, ","), one)
+
+    return bound(anchors, linked)
 
 
 def detail_and_output(rendered: Column) -> Column:
@@ -114,15 +126,17 @@ def robots_directives(text: Column) -> Column:
     Keys in any case; the last delay and the first sitemap count; delay 5 where none is given;
     an empty rule is no rule.
     """
-    lines = robots_lines(text)
 
-    def values(key: str) -> Column:
-        hits = F.filter(lines, lambda line: F.lower(line).startswith(f"{key}:"))
-        return F.transform(hits, lambda line: F.trim(F.substr(line, F.lit(len(key) + 2))))
+    def read(lines: Column) -> Column:
+        def values(key: str) -> Column:
+            hits = F.filter(lines, lambda line: F.lower(line).startswith(f"{key}:"))
+            return F.transform(hits, lambda line: F.trim(F.substr(line, F.lit(len(key) + 2))))
 
-    delay = F.try_element_at(values("crawl-delay"), F.lit(-1)).try_cast("int")
-    return F.struct(
-        F.coalesce(delay, F.lit(5)).alias("crawl_delay"),
-        F.get(values("sitemap"), F.lit(0)).alias("sitemap"),
-        F.filter(values("disallow"), lambda rule: rule != "").alias("rules"),
-    )
+        delay = F.try_element_at(values("crawl-delay"), F.lit(-1)).try_cast("int")
+        return F.struct(
+            F.coalesce(delay, F.lit(5)).alias("crawl_delay"),
+            F.get(values("sitemap"), F.lit(0)).alias("sitemap"),
+            F.filter(values("disallow"), lambda rule: rule != "").alias("rules"),
+        )
+
+    return bound(robots_lines(text), read)

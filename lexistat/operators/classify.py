@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lexistat.functions.text import word_terms
 from lexistat.operators.regression import split_by_hash
 from lexistat.operators.terms import fit_idf, tfidf_weights
-from lexistat.session import spread, stage
+from lexistat.session import placed, spread, stage
 
 SMOOTHING = 1.0
 TRAINING_SHARE = 0.8
@@ -39,9 +39,9 @@ def train(
     """Fit on ``(key, text, label)``. Class priors are not smoothed, term probabilities are."""
     terms = word_terms(F.col(text)) if terms is None else terms
     labelled = docs.select(key, text, F.col(label).alias("label")).where("label is not null")
-    placed = spread(labelled, key)
-    idf = fit_idf(placed, terms, key)
-    with_label = tfidf_weights(placed, terms, idf, key).join(
+    moved = placed(labelled, key)
+    idf = fit_idf(spread(labelled, key), terms, key)
+    with_label = tfidf_weights(moved, terms, idf, key).join(
         labelled.select(key, "label"), key
     )
     sums = stage(with_label.groupBy("label", "term").agg(F.sum("w").alias("s")), "class_terms")
@@ -76,14 +76,13 @@ def class_scores(
     if model.priors.limit(1).count() == 0:
         raise ValueError("the model has not been trained: no labelled document")
     terms = word_terms(F.col(text)) if terms is None else terms
-    placed = spread(docs.select(key, text), key)
-    weights = tfidf_weights(placed, terms, model.idf, key)
+    weights = tfidf_weights(placed(docs.select(key, text), key), terms, model.idf, key)
     labels = model.priors.agg(
         F.collect_list(F.struct("label", "log_prior", "unseen")).alias("labels")
     ).scalar()
     totals = weights.groupBy(key).agg(F.sum("w").alias("w"))
     base = (
-        placed.select(key, F.lit(1.0).alias("one"), F.lit(0.0).alias("w"))
+        docs.select(key, F.lit(1.0).alias("one"), F.lit(0.0).alias("w"))
         .unionByName(totals.select(key, F.lit(0.0).alias("one"), "w"))
         .withColumn("labels", labels)
         .select(key, "one", "w", F.inline("labels"))

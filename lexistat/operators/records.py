@@ -50,7 +50,10 @@ def parse_publications(pages: DataFrame, key: str, text: str = "html") -> DataFr
 
 
 def accepted_and_rejected(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Records with at least one detail field, and those with none."""
+    """Records with at least one detail field, and those with none.
+
+    Both parts read ``records``: hand in a table, not an unparsed page set.
+    """
     empty = F.lit(True)
     for name in ACCEPTED_FIELDS:
         empty = empty & F.col(name).isNull()

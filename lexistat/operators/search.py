@@ -9,19 +9,18 @@ from pyspark.sql import functions as F
 
 from lexistat.functions.text import STOP_WORDS, clean_text, vector_terms
 from lexistat.operators.terms import cleaned, fit_idf, normalised, term_counts
-from lexistat.session import broadcast_within
+from lexistat.session import stage
 
 PAGE_SIZE = 30
-QUERY_TERM_ROWS = 100_000
+BROADCAST_PAGE = 10_000
 
 
-def index_rows(clean: DataFrame, keys: list[str]) -> DataFrame:
-    """``(keys, term, n, tf)``: occurrences as an index token and as a vectoriser term.
+def index_rows(clean: DataFrame, key: str) -> DataFrame:
+    """``(key, term, n, tf)``: occurrences as an index token and as a vectoriser term.
 
     The two differ: the index keeps one-character tokens and ``+`` inside a token, the vectoriser
     takes word runs of two or more. Both counts come from one pass over the tokens.
     """
-    key = keys[-1]
     counts = term_counts(clean, F.split("clean", " "), key).withColumnRenamed("tf", "n")
     runs = F.filter(F.split("term", "[+]"), lambda t: F.length(t) >= 2)
     plain = ~F.col("term").contains("+")
@@ -51,7 +50,8 @@ def build_index(
     """``(index, idf)`` of a corpus: ``index(key, term, n, tf, w)``, ``idf(term, df, idf)``."""
     clean = cleaned(docs, text, key, stop_words, lemmas)
     idf = fit_idf(clean, vector_terms(F.col("clean")), key)
-    return normalised(index_rows(clean, [key]), idf, [key], "left"), idf
+    moved = cleaned(docs, text, key, stop_words, lemmas, place=True)
+    return normalised(index_rows(moved, key), idf, key, "left"), idf
 
 
 def write_index(index: DataFrame, idf: DataFrame, path: str) -> None:
@@ -73,23 +73,23 @@ def query_terms(
     queries: DataFrame, idf: DataFrame, stop_words: Iterable[str] = STOP_WORDS,
     lemmas: DataFrame | None = None,
 ) -> DataFrame:
-    """``(query_id, term, n, tf, w)`` of ``queries(query_id, query)`` in the fitted vocabulary."""
+    """``(query_id, term, n, tf, w)`` of ``queries(query_id, query)`` in the fitted vocabulary.
+
+    Staged, so that the planner knows its size when it is joined to the index.
+    """
     if lemmas is None:
         clean = queries.select("query_id", clean_text(F.col("query"), stop_words).alias("clean"))
     else:
         clean = cleaned(queries, "query", "query_id", stop_words, lemmas)
-    rows = index_rows(clean, ["query_id"])
-    wanted = broadcast_within(rows.select("term").distinct(), QUERY_TERM_ROWS)
-    known = idf.join(wanted, "term", "left_semi")
-    return normalised(rows, known, ["query_id"], "left")
+    rows = index_rows(clean, "query_id")
+    known = idf.join(rows.select("term").distinct(), "term", "left_semi")
+    return stage(normalised(rows, known, "query_id", "left"), "query_terms")
 
 
 def candidates(index: DataFrame, terms: DataFrame, key: str = "doc_id") -> DataFrame:
     """Documents that hold at least one token of a query."""
-    hits = index.where("n > 0").join(
-        broadcast_within(terms.where("n > 0").select("query_id", "term"), QUERY_TERM_ROWS), "term"
-    )
-    return hits.select("query_id", key).distinct()
+    asked = terms.where("n > 0").select("query_id", "term")
+    return index.where("n > 0").join(asked, "term").select("query_id", key).distinct()
 
 
 def scores(index: DataFrame, terms: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -101,11 +101,11 @@ def scores(index: DataFrame, terms: DataFrame, key: str = "doc_id") -> DataFrame
     asked = terms.select(
         "query_id", "term", F.col("n").alias("q_n"), F.col("w").alias("q_w")
     )
-    hits = index.join(broadcast_within(asked, QUERY_TERM_ROWS), "term")
     product = F.coalesce(F.col("w") * F.col("q_w"), F.lit(0.0))
     listed = F.max((F.col("n") > 0) & (F.col("q_n") > 0))
     return (
-        hits.groupBy("query_id", key)
+        index.join(asked, "term")
+        .groupBy("query_id", key)
         .agg(F.sum(product).alias("score"), listed.alias("_listed"))
         .where("_listed")
         .drop("_listed")
@@ -171,5 +171,7 @@ def search(
         )
     scored = scores(index, query_terms(asked, idf, stop_words, lemmas), key)
     hits = ranked_page(scored, page, size, key).select(key, "score", "rank")
-    results = records.join(broadcast_within(hits, QUERY_TERM_ROWS), key).orderBy("rank")
+    # The page holds at most ``size`` rows.
+    hits = F.broadcast(hits) if size <= BROADCAST_PAGE else hits
+    results = records.join(hits, key).orderBy("rank")
     return results.drop("rank"), page_totals(scored, asked, page, size).drop("query_id")

@@ -9,46 +9,44 @@ from pyspark.sql import functions as F
 
 from lexistat.functions.text import STOP_WORDS, clean_text, tokens, without_stop_words
 from lexistat.operators.ordering import global_index
-from lexistat.session import broadcast_within, spread, stage
+from lexistat.session import few_splits, spread, stage
 
-LEMMA_BROADCAST_ROWS = 200_000
 BLOCK_DOCUMENTS = 4096
 
 
 def cleaned(
     docs: DataFrame, text: str = "text", key: str = "doc_id",
-    stop_words: Iterable[str] = STOP_WORDS, lemmas: DataFrame | None = None,
+    stop_words: Iterable[str] = STOP_WORDS, lemmas: DataFrame | None = None, place: bool = False,
 ) -> DataFrame:
-    """``(key, clean)``: cleaned text, with lemmas from ``lemmas(token, lemma)`` if given."""
-    docs = spread(docs.select(key, text), key)
+    """``(key, clean)``: cleaned text, with lemmas from ``lemmas(token, lemma)`` if given.
+
+    With ``place`` the rows come hashed by ``key``. A large table is cleaned before it is moved,
+    as cleaning makes it smaller.
+    """
+    docs = docs.select(key, text)
+    small = few_splits(docs)
+    docs = spread(docs, key)
     if lemmas is None:
-        return docs.select(key, clean_text(F.col(text), stop_words).alias("clean"))
+        clean = docs.select(key, clean_text(F.col(text), stop_words).alias("clean"))
+        return clean.repartition(key) if place and not small else clean
     words = without_stop_words(tokens(F.col(text)), stop_words)
-    placed = docs.select(key, F.posexplode_outer(words).alias("place", "token"))
-    known = lemmas.select("token", "lemma")
+    each = docs.select(key, F.posexplode_outer(words).alias("place", "token"))
     word = F.struct("place", F.coalesce("lemma", "token").alias("word"))
     return (
-        placed.join(broadcast_within(known, LEMMA_BROADCAST_ROWS), "token", "left")
+        each.join(lemmas.select("token", "lemma"), "token", "left")
         .groupBy(key)
         .agg(F.sort_array(F.collect_list(word)).alias("words"))
         .select(key, F.array_join("words.word", " ").alias("clean"))
     )
 
 
-def by_document(docs: DataFrame, key: str) -> DataFrame:
-    """Rows placed by document, so that everything per document needs no further shuffle."""
-    cores = docs.sparkSession.sparkContext.defaultParallelism
-    if docs.rdd.getNumPartitions() >= 4 * cores:
-        return docs.repartition(key)
-    return docs
-
-
 def term_counts(docs: DataFrame, terms: Column, key: str = "doc_id") -> DataFrame:
     """``(key, term, tf)``: the inverted index in long form.
 
-    The text moves once, to the place of its document, before it is split into many rows.
+    On rows hashed by ``key`` this needs no shuffle: the text has moved once, as one row, before
+    it is split into many.
     """
-    rows = by_document(docs, key).select(key, F.explode(terms).alias("term"))
+    rows = docs.select(key, F.explode(terms).alias("term"))
     return rows.where(F.col("term") != "").groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
@@ -90,11 +88,11 @@ def fit_idf(docs: DataFrame, terms: Column, key: str = "doc_id") -> DataFrame:
     return stage(document_frequencies(docs, terms).withColumn("idf", idf), "idf")
 
 
-def normalised(counts: DataFrame, idf: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+def normalised(counts: DataFrame, idf: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Weights ``tf * idf`` divided by their Euclidean length per document, as column ``w``."""
     raw = F.col("tf") * F.col("idf")
     weighted = counts.join(idf.select("term", "idf"), "term", how).withColumn("w", raw)
-    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*keys)))
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
     return weighted.withColumn("w", F.col("w") / F.nullif(length, F.lit(0.0))).drop("idf")
 
 
@@ -102,7 +100,7 @@ def tfidf_weights(
     docs: DataFrame, terms: Column, idf: DataFrame, key: str = "doc_id"
 ) -> DataFrame:
     """``(key, term, tf, w)``; terms outside the fitted vocabulary are dropped."""
-    return normalised(term_counts(docs, terms, key), idf, [key])
+    return normalised(term_counts(docs, terms, key), idf, key)
 
 
 def vocabulary(frequencies: DataFrame) -> DataFrame:

@@ -1,5 +1,5 @@
 """Registered queries, each with the SQL it is checked against where one exists."""
 
-from lexistat.plans import retrieval
+from lexistat.plans import crawl, publications, retrieval
 
-GROUPS = (retrieval,)
+GROUPS = (retrieval, crawl, publications)

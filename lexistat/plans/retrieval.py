@@ -98,7 +98,8 @@ FROM documents
 
 
 def _counts(spark: SparkSession, folder: str) -> DataFrame:
-    return terms.term_counts(terms.cleaned(_documents(spark, folder)), F.split("clean", " "))
+    clean = terms.cleaned(_documents(spark, folder), place=True)
+    return terms.term_counts(clean, F.split("clean", " "))
 
 
 def inverted_index(spark: SparkSession, folder: str) -> DataFrame:
@@ -128,9 +129,10 @@ SELECT term, count(DISTINCT doc_id) AS df, count(*) AS cf FROM p GROUP BY term
 
 
 def tfidf_weights(spark: SparkSession, folder: str) -> DataFrame:
-    clean = terms.cleaned(_documents(spark, folder))
+    docs = _documents(spark, folder)
     words = vector_terms(F.col("clean"))
-    weights = terms.tfidf_weights(clean, words, terms.fit_idf(clean, words))
+    idf = terms.fit_idf(terms.cleaned(docs), words)
+    weights = terms.tfidf_weights(terms.cleaned(docs, place=True), words, idf)
     return weights.select("doc_id", "term", "tf", F.round("w", 6).alias("w"))
 
 

@@ -57,28 +57,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash a table of few input splits over the cores by ``key``.
-
-    A large table already has more splits than cores and is returned as it is, so no text is
-    shuffled for it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 4 * cores:
-        return df
-    return df.repartition(cores, key)
-
-
-def one_row(df: DataFrame) -> Column:
-    """The only row of ``df`` as a struct literal: a scalar subquery, not a join."""
-    return df.select(F.struct("*").alias("row")).scalar()
+def few_splits(df: DataFrame) -> bool:
+    """True where the planner's size estimate gives fewer full input splits than there are cores."""
+    spark = df.sparkSession
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return int(str(size)) < spark.sparkContext.defaultParallelism * split
 
 
-def broadcast_within(df: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast after counting that ``df`` has at most ``rows`` rows.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash a small table over the cores by ``key``, so that one file is not one task.
 
-    Beyond that the join stays with the planner: sort-merge, with adaptive skew splitting.
+    A large table is returned as it is: it has splits enough, and its text is not shuffled.
     """
-    if df.limit(rows + 1).count() <= rows:
-        return F.broadcast(df)
+    if few_splits(df):
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
     return df
+
+
+def placed(df: DataFrame, key: str) -> DataFrame:
+    """Hash a table of any size by ``key``, so that work per key needs no further shuffle."""
+    if few_splits(df):
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    return df.repartition(key)
