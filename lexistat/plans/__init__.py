@@ -1,5 +1,5 @@
 """Registered queries, each with the SQL it is checked against where one exists."""
 
-from lexistat.plans import crawl, publications, retrieval
+from lexistat.plans import crawl, publications, retrieval, statistics
 
-GROUPS = (retrieval, crawl, publications)
+GROUPS = (retrieval, crawl, publications, statistics)
