@@ -1,5 +1,12 @@
 """Registered queries, each with the SQL it is checked against where one exists."""
 
-from lexistat.plans import crawl, publications, retrieval, statistics
+from lexistat.plans import (
+    classification,
+    crawl,
+    modelling,
+    publications,
+    retrieval,
+    statistics,
+)
 
-GROUPS = (retrieval, crawl, publications, statistics)
+GROUPS = (retrieval, crawl, publications, statistics, modelling, classification)
