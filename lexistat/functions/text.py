@@ -34,7 +34,8 @@ _SPLIT_PATTERN = r"\b(?:" + "|".join(
 
 def spaced(text: Column) -> Column:
     """Lower case; everything but ``a-z 0-9 # +`` becomes a blank; ``#`` stands alone."""
-    kept = F.regexp_replace(F.lower(text), "[^a-z0-9#+]", " ")
+    # The POSIX class is ASCII only, as a-z0-9 is, but matches several times faster.
+    kept = F.regexp_replace(F.lower(text), r"[^\p{Alnum}#+ ]", " ")
     alone = F.replace(kept, F.lit("#"), F.lit(" # "))
     return F.regexp_replace(alone, _SPLIT_PATTERN, "$0 ")
 

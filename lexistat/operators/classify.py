@@ -39,11 +39,8 @@ def train(
     """Fit on ``(key, text, label)``. Class priors are not smoothed, term probabilities are."""
     terms = word_terms(F.col(text)) if terms is None else terms
     labelled = docs.select(key, text, F.col(label).alias("label")).where("label is not null")
-    moved = placed(labelled, key)
     idf = fit_idf(spread(labelled, key), terms, key)
-    with_label = tfidf_weights(moved, terms, idf, key).join(
-        labelled.select(key, "label"), key
-    )
+    with_label = tfidf_weights(placed(labelled, key), terms, idf, key, ("label",))
     sums = stage(with_label.groupBy("label", "term").agg(F.sum("w").alias("s")), "class_terms")
     size = idf.agg(F.count("*").alias("v")).scalar()
     totals = sums.groupBy("label").agg(F.sum("s").alias("total"))
@@ -63,50 +60,69 @@ def train(
     return NaiveBayes(idf, priors, stage(seen, "class_log_prob"))
 
 
-def class_scores(
-    model: NaiveBayes, docs: DataFrame, text: str = "text", key: str = "doc_id",
-    terms: Column | None = None,
+def _scored(
+    model: NaiveBayes, docs: DataFrame, text: str, key: str, terms: Column | None
 ) -> DataFrame:
-    """``(key, label, score)``: log-prior plus weighted log-probabilities, for every label.
+    """``(key, scores)``: one ``struct<label, score>`` per label.
 
-    Each document starts with what its label scores if no term had been seen; only the terms a
-    label has seen correct that. So the joins carry the pairs that exist, and a document without
-    a known term still gets its prior.
+    A label starts with its prior and with what all known terms weigh if it had seen none of them
+    (rows without a label carry that weight); the terms it has seen correct this. So the join
+    carries the pairs that exist, the texts are weighted once, and a document without a known
+    term gets the priors.
     """
-    if model.priors.limit(1).count() == 0:
+    if not model.priors.take(1):
         raise ValueError("the model has not been trained: no labelled document")
     terms = word_terms(F.col(text)) if terms is None else terms
     weights = tfidf_weights(placed(docs.select(key, text), key), terms, model.idf, key)
+    nobody = F.lit(None).cast(model.terms.schema["label"].dataType).alias("label")
+    gains = model.terms.select("label", "term", "lift").unionByName(
+        model.idf.select(nobody, "term", F.lit(1.0).alias("lift"))
+    )
+    parts = (
+        weights.join(gains, "term")
+        .groupBy(key, "label")
+        .agg(F.sum(F.col("w") * F.col("lift")).alias("part"))
+        .unionByName(docs.select(key, nobody, F.lit(0.0).alias("part")))
+        .groupBy(key)
+        .agg(F.collect_list(F.struct("label", "part")).alias("parts"))
+    )
     labels = model.priors.agg(
         F.collect_list(F.struct("label", "log_prior", "unseen")).alias("labels")
     ).scalar()
-    totals = weights.groupBy(key).agg(F.sum("w").alias("w"))
-    base = (
-        docs.select(key, F.lit(1.0).alias("one"), F.lit(0.0).alias("w"))
-        .unionByName(totals.select(key, F.lit(0.0).alias("one"), "w"))
-        .withColumn("labels", labels)
-        .select(key, "one", "w", F.inline("labels"))
-    )
-    start = F.col("one") * F.col("log_prior") + F.col("w") * F.col("unseen")
-    lift = weights.join(model.terms, "term").select(
-        key, "label", (F.col("w") * F.col("lift")).alias("part")
-    )
-    return (
-        base.select(key, "label", start.alias("part"))
-        .unionByName(lift)
-        .groupBy(key, "label")
-        .agg(F.sum("part").alias("score"))
+
+    def score(of: Column) -> Column:
+        def add(total: Column, p: Column) -> Column:
+            return total + F.when(p["label"].isNull(), p["part"] * of["unseen"]).when(
+                p["label"] == of["label"], p["part"]
+            ).otherwise(F.lit(0.0))
+
+        return F.struct(
+            of["label"].alias("label"), F.aggregate("parts", of["log_prior"], add).alias("score")
+        )
+
+    return parts.select(key, "parts", labels.alias("labels")).select(
+        key, F.transform("labels", score).alias("scores")
     )
 
 
+def class_scores(
+    model: NaiveBayes, docs: DataFrame, text: str = "text", key: str = "doc_id",
+    terms: Column | None = None,
+) -> DataFrame:
+    """``(key, label, score)``: log-prior plus weighted log-probabilities, for every label."""
+    return _scored(model, docs, text, key, terms).select(key, F.inline("scores"))
+
+
 def predict(
     model: NaiveBayes, docs: DataFrame, text: str = "text", key: str = "doc_id",
     terms: Column | None = None,
 ) -> DataFrame:
     """``(key, predicted)``: the label of the best score; equal scores go to the first label."""
-    best = F.min(F.struct((-F.col("score")).alias("cost"), F.col("label")))
-    return class_scores(model, docs, text, key, terms).groupBy(key).agg(
-        best["label"].alias("predicted")
+    ranked = F.transform(
+        "scores", lambda s: F.struct((-s["score"]).alias("cost"), s["label"].alias("label"))
+    )
+    return _scored(model, docs, text, key, terms).select(
+        key, F.array_min(ranked)["label"].alias("predicted")
     )
 
 

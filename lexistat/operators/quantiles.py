@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
-SORT_LIMIT = 1_000_000
+SORT_LIMIT = 100_000
 IQR_REACH = 1.5
 
 

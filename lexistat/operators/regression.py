@@ -237,7 +237,7 @@ def qq_points(
     """Points of a normal quantile plot per group: sample value against normal quantile.
 
     Equal values are ordered by ``key``. One range sort serves all groups; a group's ranks start
-    after the rows of the groups before it.
+    after the rows of the groups before it. The groups are models: one broadcast row for each.
     """
     order = [F.col(group), F.col(value), F.col(key)]
     placed = global_index(errors.where(F.col(value).isNotNull()), order, "_place")
@@ -247,7 +247,7 @@ def qq_points(
     rank = F.col("_place") - F.col("_first") + 1
     offset = F.when(F.col("_n") <= 10, F.lit(0.375)).otherwise(F.lit(0.5))
     p = (rank - offset) / (F.col("_n") + 1 - 2 * offset)
-    return placed.join(groups, group).select(
+    return placed.join(F.broadcast(groups), group).select(
         group, key, rank.alias("rank"), normal_quantile(p).alias("theoretical"),
         F.col(value).alias("sample"),
     )

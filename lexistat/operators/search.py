@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexistat.functions.text import STOP_WORDS, clean_text, vector_terms
@@ -13,6 +13,7 @@ from lexistat.session import stage
 
 PAGE_SIZE = 30
 BROADCAST_PAGE = 10_000
+PUSHED_TERMS = 100
 
 
 def index_rows(clean: DataFrame, key: str) -> DataFrame:
@@ -57,15 +58,17 @@ def build_index(
 def write_index(index: DataFrame, idf: DataFrame, path: str) -> None:
     """Store an index sorted by term, so that a search reads the row groups of its terms only.
 
-    Range partitioning on term and document cuts a very frequent term into several files.
+    Range partitioning on term and document cuts a very frequent term into several files. The
+    range sort reads its input twice, so the index is staged before it.
     """
-    key = index.columns[1] if index.columns[0] == "term" else index.columns[0]
-    placed = index.repartitionByRange("term", key).sortWithinPartitions("term", key)
+    key = next(c for c in index.columns if c not in ("term", "n", "tf", "w"))
+    rows = stage(index, "index")
+    placed = rows.repartitionByRange("term", key).sortWithinPartitions("term", key)
     placed.write.mode("overwrite").parquet(f"{path}/index")
     idf.write.mode("overwrite").parquet(f"{path}/idf")
 
 
-def read_index(spark, path: str) -> tuple[DataFrame, DataFrame]:
+def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return spark.read.parquet(f"{path}/index"), spark.read.parquet(f"{path}/idf")
 
 
@@ -101,6 +104,7 @@ def scores(index: DataFrame, terms: DataFrame, key: str = "doc_id") -> DataFrame
     asked = terms.select(
         "query_id", "term", F.col("n").alias("q_n"), F.col("w").alias("q_w")
     )
+    index = _with_terms(index, terms)
     product = F.coalesce(F.col("w") * F.col("q_w"), F.lit(0.0))
     listed = F.max((F.col("n") > 0) & (F.col("q_n") > 0))
     return (
@@ -112,6 +116,14 @@ def scores(index: DataFrame, terms: DataFrame, key: str = "doc_id") -> DataFrame
     )
 
 
+def _with_terms(index: DataFrame, terms: DataFrame) -> DataFrame:
+    """The rows of few query terms by a filter the scan of a stored index can skip files with."""
+    listed = terms.select("term").distinct().limit(PUSHED_TERMS + 1).collect()
+    if len(listed) > PUSHED_TERMS:
+        return index
+    return index.where(F.col("term").isin([row["term"] for row in listed]))
+
+
 def page_bounds(page: int, size: int) -> tuple[int, int]:
     if page < 1 or size < 1:
         raise ValueError("page and size start at 1")

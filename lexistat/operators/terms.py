@@ -40,14 +40,16 @@ def cleaned(
     )
 
 
-def term_counts(docs: DataFrame, terms: Column, key: str = "doc_id") -> DataFrame:
-    """``(key, term, tf)``: the inverted index in long form.
+def term_counts(
+    docs: DataFrame, terms: Column, key: str = "doc_id", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """``(key, carry, term, tf)``: the inverted index in long form.
 
     On rows hashed by ``key`` this needs no shuffle: the text has moved once, as one row, before
-    it is split into many.
+    it is split into many. Columns to ``carry`` along are constant per document.
     """
-    rows = docs.select(key, F.explode(terms).alias("term"))
-    return rows.where(F.col("term") != "").groupBy(key, "term").agg(F.count("*").alias("tf"))
+    rows = docs.select(key, *carry, F.explode(terms).alias("term")).where(F.col("term") != "")
+    return rows.groupBy(key, *carry, "term").agg(F.count("*").alias("tf"))
 
 
 def postings(counts: DataFrame, key: str = "doc_id", block: int = BLOCK_DOCUMENTS) -> DataFrame:
@@ -97,12 +99,17 @@ def normalised(counts: DataFrame, idf: DataFrame, key: str, how: str = "inner")
 
 
 def tfidf_weights(
-    docs: DataFrame, terms: Column, idf: DataFrame, key: str = "doc_id"
+    docs: DataFrame, terms: Column, idf: DataFrame, key: str = "doc_id",
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``(key, term, tf, w)``; terms outside the fitted vocabulary are dropped."""
-    return normalised(term_counts(docs, terms, key), idf, key)
+    """``(key, carry, term, tf, w)``; terms outside the fitted vocabulary are dropped."""
+    return normalised(term_counts(docs, terms, key, carry), idf, key)
 
 
 def vocabulary(frequencies: DataFrame) -> DataFrame:
-    """``(term, column)``: every term with its 0-based place in alphabetical order."""
-    return global_index(frequencies.select("term"), [F.col("term")], "column", start=0)
+    """``(term, column)``: every term with its 0-based place in alphabetical order.
+
+    The terms are staged first: the range sort reads its input twice, and the texts should not be.
+    """
+    listed = stage(frequencies.select("term"), "vocabulary")
+    return global_index(listed, [F.col("term")], "column", start=0)

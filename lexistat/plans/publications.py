@@ -81,7 +81,9 @@ ORACLES["author_links"] = f"WITH {sql.PUBLICATIONS}, {_exploded_sql('pub')}"
 def author_anchors(spark: SparkSession, folder: str) -> DataFrame:
     """Authors by their anchors alone: names without a link are left out."""
     people = html.links(html.first_group(F.col("html"), html.PERSONS))
-    return _exploded(_portal(spark, folder).select(F.col("page_id").alias("id"), people.alias("authors")))
+    return _portal(spark, folder).select(
+        F.col("page_id").alias("id"), F.posexplode(people).alias("place", "a")
+    ).select("id", "place", "a.name", "a.link")
 
 
 QUERIES["author_anchors"] = author_anchors

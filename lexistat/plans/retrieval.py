@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexistat.functions.text import STOP_WORDS, tokens, vector_terms, without_stop_words
 from lexistat.operators import search, terms
 from lexistat.plans import sql
-from lexistat.session import spread
+from lexistat.session import shared_folder, spread
 from lexistat.sources.tables import table
 
 QUERIES: dict = {}
@@ -208,6 +210,18 @@ QUERIES["search_topk"] = search_topk
 ORACLES["search_topk"] = _page_sql(1)
 
 
+def stored_index_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The same page from an index written to files, sorted by term, and read back."""
+    path = f"{shared_folder(spark)}/index-{uuid.uuid4().hex}"
+    search.write_index(*_index(spark, folder), path)
+    index, idf = search.read_index(spark, path)
+    return _page(search.scores(index, search.query_terms(_asked(spark), idf)), 1)
+
+
+QUERIES["stored_index_search"] = stored_index_search
+ORACLES["stored_index_search"] = _page_sql(1)
+
+
 def search_page2(spark: SparkSession, folder: str) -> DataFrame:
     return _page(_scores(spark, folder), 2)
 
