@@ -155,8 +155,14 @@ def kernel_density(values: DataFrame, sort_limit: int = SORT_LIMIT) -> DataFrame
 
 
 def pair_correlation(df: DataFrame, inputs: list[str], output: str) -> DataFrame:
-    """Correlation of each input with the output, all in one aggregation."""
-    row = df.agg(*[F.corr(c, output).alias(c) for c in inputs])
+    """Correlation of each input with the output, all in one aggregation; NULL for a constant."""
+    spread = F.stddev_samp(output)
+    row = df.agg(
+        *[
+            (F.covar_samp(c, output) / F.nullif(F.stddev_samp(c) * spread, F.lit(0.0))).alias(c)
+            for c in inputs
+        ]
+    )
     return row.unpivot([], inputs, "column", "corr")
 
 

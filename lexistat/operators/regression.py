@@ -88,7 +88,7 @@ def fit_models(
 ) -> list[Fit]:
     """Least squares on standardised predictors for all models from one aggregation.
 
-    Means, deviations and correlations of the terms are taken over the table once; what reaches
+    Means, deviations and covariances of the terms are taken over the table once; what reaches
     the driver is that one row, and what is solved there is one small matrix per model.
     """
     terms = sorted({t for wanted in models.values() for t in wanted})
@@ -105,25 +105,25 @@ def fit_models(
         F.count("*"), F.avg(y), F.stddev_samp(y),
         *[F.avg(term_value(t)) for t in terms],
         *[F.stddev_samp(term_value(t)) for t in terms],
-        *[F.corr(term_value(t), y) for t in terms],
-        *[F.corr(term_value(a), term_value(b)) for a, b in pairs],
+        *[F.covar_samp(term_value(t), y) for t in terms],
+        *[F.covar_samp(term_value(a), term_value(b)) for a, b in pairs],
     ).first()
     n, y_mean, y_sd = row[0], row[1], row[2]
     m = len(terms)
     mean = dict(zip(terms, row[3 : 3 + m]))
     sd = dict(zip(terms, row[3 + m : 3 + 2 * m]))
-    r_y = dict(zip(terms, row[3 + 2 * m : 3 + 3 * m]))
-    r = {frozenset(p): v for p, v in zip(pairs, row[3 + 3 * m :])}
+    r_y = {t: _ratio(v, sd[t], y_sd) for t, v in zip(terms, row[3 + 2 * m : 3 + 3 * m])}
+    r = {frozenset(p): _ratio(v, *(sd[t] for t in p)) for p, v in zip(pairs, row[3 + 3 * m :])}
     fits = []
     for name, wanted in models.items():
         k = len(wanted)
         matrix = np.array(
             [
-                [1.0 if i == j else _number(r[frozenset((wanted[i], wanted[j]))]) for j in range(k)]
+                [1.0 if i == j else r[frozenset((wanted[i], wanted[j]))] for j in range(k)]
                 for i in range(k)
             ]
         )
-        vector = np.array([_number(r_y[t]) for t in wanted])
+        vector = np.array([r_y[t] for t in wanted])
         known = np.isfinite(matrix).all() and np.isfinite(vector).all() and n > k + 1
         theta = None
         if known and abs(np.linalg.det(matrix)) >= SINGULAR:
@@ -137,8 +137,9 @@ def fit_models(
     return fits
 
 
-def _number(value: float | None) -> float:
-    return float("nan") if value is None else value
+def _ratio(covariance: float | None, sd_a: float | None, sd_b: float | None) -> float:
+    """Correlation, NaN where it is not defined (a constant column, too few rows)."""
+    return covariance / (sd_a * sd_b) if covariance is not None and sd_a and sd_b else float("nan")
 
 
 def scaled_features(df: DataFrame, fit: Fit, keys: list[str]) -> DataFrame:
