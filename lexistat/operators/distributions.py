@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexistat.functions.numeric import pretty_width, sturges
-from lexistat.operators.quantiles import SORT_LIMIT, exact_quantiles
+from lexistat.operators.quantiles import SORT_LIMIT, quantiles_of
 
 EDGE_FUZZ = 1e-7
 ROUNDING = 1e-10
@@ -17,15 +17,6 @@ GRID_CUT = 3.0
 GRID_MARGIN = 4.0
 
 
-def long_values(df: DataFrame, columns: list[str], pooled: str | None = None) -> DataFrame:
-    """``(column, value)`` rows of the present values; one shared name if ``pooled`` is given."""
-    typed = df.select([F.col(c).cast("double").alias(c) for c in columns])
-    values = typed.unpivot([], columns, "column", "value").where(
-        F.col("value").isNotNull() & ~F.isnan("value")
-    )
-    return values.withColumn("column", F.lit(pooled)) if pooled else values
-
-
 def histogram(values: DataFrame) -> DataFrame:
     """Histogram of each ``column`` of ``(column, value)`` rows, on the density scale.
 
@@ -93,11 +84,8 @@ def kernel_density(values: DataFrame, sort_limit: int = SORT_LIMIT) -> DataFrame
         .collect()
     )
     rows = []
-    wide = values.select(
-        *[F.when(F.col("column") == s["column"], F.col("value")).alias(s["column"]) for s in stats]
-    )
-    names = [s["column"] for s in stats]
-    quartiles = exact_quantiles(wide, names, [0.25, 0.75], sort_limit) if names else {}
+    ranges = {s["column"]: (s["n"], s["low"], s["high"]) for s in stats}
+    quartiles = quantiles_of(values, ranges, [0.25, 0.75], sort_limit) if stats else {}
     for s in stats:
         name = s["column"]
         iqr = quartiles[(name, 0.75)] - quartiles[(name, 0.25)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexistat.session import shared_folder
+from lexistat.session import shared_folder, shuffle_parts
 
 _POSITION_BITS = 33
 
@@ -22,9 +22,8 @@ def global_index(
     positions and counts must come from the same cut. End the key with a unique column; then no
     value, however frequent, is tied to one partition.
     """
-    spark = df.sparkSession
-    shared_folder(spark)
-    cuts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shared_folder(df.sparkSession)
+    cuts = partitions or shuffle_parts(df)
     placed = (
         df.repartitionByRange(cuts, *order)
         .sortWithinPartitions(*order)

@@ -39,10 +39,13 @@ def column_ranges(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, flo
     return {c: tuple(row[3 * i : 3 * i + 3]) for i, c in enumerate(columns)}
 
 
-def _long(df: DataFrame, columns: list[str]) -> DataFrame:
+def long_values(df: DataFrame, columns: list[str], pooled: str | None = None) -> DataFrame:
+    """``(column, value)`` rows of the present values; one shared name if ``pooled`` is given."""
     typed = df.select([F.col(c).cast("double").alias(c) for c in columns])
-    values = typed.unpivot([], columns, "column", "value")
-    return values.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    values = typed.unpivot([], columns, "column", "value").where(
+        F.col("value").isNotNull() & ~F.isnan("value")
+    )
+    return values.withColumn("column", F.lit(pooled)) if pooled else values
 
 
 def _part(value: Column, low: float, high: float) -> Column:
@@ -88,20 +91,18 @@ def _narrow(values: DataFrame, wanted: list[_Open]) -> None:
 
 
 def order_statistics(
-    df: DataFrame, ranks: dict[str, list[int]], ranges: dict[str, tuple[int, float, float]],
+    values: DataFrame, ranks: dict[str, list[int]], ranges: dict[str, tuple[int, float, float]],
     sort_limit: int = SORT_LIMIT,
 ) -> dict[tuple[str, int], float]:
-    """Values at the given ranks (1 = least) of each column, exact.
+    """Values at the given ranks (1 = least) of each column of ``(column, value)`` rows, exact.
 
     Large columns are narrowed by counting, without moving rows, until at most ``sort_limit``
     values remain around a rank. Only the distinct values among those are then put in order.
     The driver holds one interval per rank.
     """
-    columns = list(ranks)
-    values = _long(df, columns)
     wanted = [
         _Open(c, r, ranges[c][1], ranges[c][2], 0, ranges[c][0])
-        for c in columns
+        for c in ranks
         for r in sorted(set(ranks[c]))
     ]
     while large := [w for w in wanted if w.low < w.high and w.size > sort_limit]:
@@ -148,38 +149,44 @@ def _distinct_spans(wanted: list[_Open], at_once: int = 16) -> set[tuple[str, fl
     return set(sorted({(w.column, w.low, w.high) for w in wanted})[:at_once])
 
 
-def exact_quantiles(
-    df: DataFrame, columns: list[str], probabilities: list[float], sort_limit: int = SORT_LIMIT
-) -> dict[tuple[str, float], float | None]:
-    """Quantiles by linear interpolation between order statistics (type 7)."""
-    ranges = column_ranges(df, columns)
+def quantiles_of(
+    values: DataFrame, ranges: dict[str, tuple[int, float, float]], probabilities: list[float],
+    sort_limit: int = SORT_LIMIT,
+) -> dict[tuple[str, float], float]:
+    """Type 7 quantiles of each column of ``(column, value)`` rows of known ranges."""
+    spots = {(c, p): (ranges[c][0] - 1) * p for c in ranges for p in probabilities}
     ranks: dict[str, list[int]] = {}
-    for c in columns:
-        n = ranges[c][0]
-        spots = [(n - 1) * p for p in probabilities] if n else []
-        ranks[c] = [r + 1 for s in spots for r in (math.floor(s), math.ceil(s))]
-    values = order_statistics(df, {c: r for c, r in ranks.items() if r}, ranges, sort_limit)
-    result: dict[tuple[str, float], float | None] = {}
-    for c in columns:
-        for p in probabilities:
-            if not ranges[c][0]:
-                result[(c, p)] = None
-                continue
-            spot = (ranges[c][0] - 1) * p
-            low = values[(c, math.floor(spot) + 1)]
-            high = values[(c, math.ceil(spot) + 1)]
-            result[(c, p)] = low + (spot - math.floor(spot)) * (high - low)
+    for (c, _), spot in spots.items():
+        ranks.setdefault(c, []).extend([math.floor(spot) + 1, math.ceil(spot) + 1])
+    found = order_statistics(values, ranks, ranges, sort_limit)
+    result = {}
+    for (c, p), spot in spots.items():
+        low, high = found[(c, math.floor(spot) + 1)], found[(c, math.ceil(spot) + 1)]
+        result[(c, p)] = low + (spot - math.floor(spot)) * (high - low)
     return result
 
 
+def exact_quantiles(
+    df: DataFrame, columns: list[str], probabilities: list[float], sort_limit: int = SORT_LIMIT
+) -> dict[tuple[str, float], float]:
+    """Quantiles by linear interpolation between order statistics (type 7).
+
+    A column without a value has no entry.
+    """
+    ranges = {c: r for c, r in column_ranges(df, columns).items() if r[0]}
+    if not ranges:
+        return {}
+    return quantiles_of(long_values(df, list(ranges)), ranges, probabilities, sort_limit)
+
+
 def iqr_fences(df: DataFrame, columns: list[str], sort_limit: int = SORT_LIMIT
                ) -> dict[str, tuple[float, float, float, float]]:
     """First and third quartile and both fences of each column, all from the same table."""
     q = exact_quantiles(df, columns, [0.25, 0.75], sort_limit)
     fences = {}
     for c in columns:
-        q1, q3 = q[(c, 0.25)], q[(c, 0.75)]
-        if q1 is not None:
+        if (c, 0.25) in q:
+            q1, q3 = q[(c, 0.25)], q[(c, 0.75)]
             reach = IQR_REACH * (q3 - q1)
             fences[c] = (q1, q3, q1 - reach, q3 + reach)
     return fences
@@ -210,7 +217,7 @@ def boxplot_stats(df: DataFrame, columns: list[str], sort_limit: int = SORT_LIMI
         quarter = ((n + 3) // 2) / 2
         spots[c] = (quarter, (n + 1) / 2, n + 1 - quarter)
     ranks = {c: [r for s in spots[c] for r in (math.floor(s), math.ceil(s))] for c in columns}
-    values = order_statistics(df, ranks, ranges, sort_limit)
+    values = order_statistics(long_values(df, columns), ranks, ranges, sort_limit) if columns else {}
     boxes, aggregates = [], []
     for c in columns:
         hinge1, median, hinge3 = (

@@ -263,7 +263,7 @@ def qq_lines(
     wide = df.select(*[(F.col(output) - f.predicted()).alias(f.model) for f in fits])
     q = exact_quantiles(wide, names, [0.25, 0.75], sort_limit)
     quartile = normal_quantile(F.lit(0.75))
-    rows = [(m, q[(m, 0.25)], q[(m, 0.75)]) for m in names]
+    rows = [(m, q.get((m, 0.25)), q.get((m, 0.75))) for m in names]
     slope = (F.col("q3") - F.col("q1")) / (2 * quartile)
     return spark.createDataFrame(rows, "model string, q1 double, q3 double").select(
         "model", slope.alias("slope"), ((F.col("q1") + F.col("q3")) / 2).alias("intercept")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexistat.functions.text import STOP_WORDS, clean_text, vector_terms
 from lexistat.operators.terms import cleaned, fit_idf, normalised, term_counts
-from lexistat.session import stage
+from lexistat.session import shuffle_parts, stage
 
 PAGE_SIZE = 30
 BROADCAST_PAGE = 10_000
@@ -63,8 +63,8 @@ def write_index(index: DataFrame, idf: DataFrame, path: str) -> None:
     """
     key = next(c for c in index.columns if c not in ("term", "n", "tf", "w"))
     rows = stage(index, "index")
-    placed = rows.repartitionByRange("term", key).sortWithinPartitions("term", key)
-    placed.write.mode("overwrite").parquet(f"{path}/index")
+    ranged = rows.repartitionByRange(shuffle_parts(rows), "term", key)
+    ranged.sortWithinPartitions("term", key).write.mode("overwrite").parquet(f"{path}/index")
     idf.write.mode("overwrite").parquet(f"{path}/idf")
 
 

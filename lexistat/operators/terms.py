@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexistat.functions.text import STOP_WORDS, clean_text, tokens, without_stop_words
 from lexistat.operators.ordering import global_index
-from lexistat.session import few_splits, spread, stage
+from lexistat.session import few_splits, shuffle_parts, spread, stage
 
 BLOCK_DOCUMENTS = 4096
 
@@ -24,11 +24,11 @@ def cleaned(
     as cleaning makes it smaller.
     """
     docs = docs.select(key, text)
-    small = few_splits(docs)
+    small, parts = few_splits(docs), shuffle_parts(docs)
     docs = spread(docs, key)
     if lemmas is None:
         clean = docs.select(key, clean_text(F.col(text), stop_words).alias("clean"))
-        return clean.repartition(key) if place and not small else clean
+        return clean.repartition(parts, key) if place and not small else clean
     words = without_stop_words(tokens(F.col(text)), stop_words)
     each = docs.select(key, F.posexplode_outer(words).alias("place", "token"))
     word = F.struct("place", F.coalesce("lemma", "token").alias("word"))
@@ -60,7 +60,7 @@ def postings(counts: DataFrame, key: str = "doc_id", block: int = BLOCK_DOCUMENT
     """
     entry = F.struct(F.col(key).alias("id"), "tf")
     lists = (
-        counts.groupBy("term", F.floor(F.col(key) / block).alias("block"))
+        counts.groupBy("term", F.expr(f"`{key}` div {block}").alias("block"))
         .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
     )
     repeated = F.transform("entries", lambda e: F.array_repeat(e["id"], e["tf"].cast("int")))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexistat.functions.numeric import CENTRE, FAR_TAIL, NEAR_TAIL
-from lexistat.operators import distributions, posterior, regression
+from lexistat.operators import distributions, posterior, quantiles, regression
 from lexistat.operators.regression import MODELS, Fit
 from lexistat.plans.statistics import FILTERED_SQL, filtered, histogram_sql
 
@@ -360,7 +360,7 @@ ORACLES["abc_reject"] = f"WITH {ABC_SQL.replace('$draws', str(FEW_DRAWS))} {SHOW
 def abc_posterior_hist(spark: SparkSession, folder: str) -> DataFrame:
     """Marginal posteriors: the histograms of the accepted draws."""
     kept = posterior.accepted(_draws(spark, folder, DRAWS))
-    bins = distributions.histogram(distributions.long_values(kept, ["theta_a", "theta_b"]))
+    bins = distributions.histogram(quantiles.long_values(kept, ["theta_a", "theta_b"]))
     return bins.select(
         "column", "bin", F.round("left", 6).alias("left"), F.round("right", 6).alias("right"),
         "count", F.round("density", 9).alias("density"),

@@ -82,7 +82,7 @@ ORACLES["complete_cases"] = f"WITH {SIGNALS_SQL} SELECT doc_id, x4, x5 FROM sig
 
 
 def column_summary(spark: SparkSession, folder: str) -> DataFrame:
-    values = distributions.long_values(signals(spark, folder), COLUMNS)
+    values = quantiles.long_values(signals(spark, folder), COLUMNS)
     v = F.col("value")
     return values.groupBy("column").agg(
         F.count(v).alias("n"), F.round(F.sum(v), 4).alias("total"), F.round(F.avg(v), 6).alias("mean"),
@@ -206,7 +206,7 @@ def _histogram(values: DataFrame) -> DataFrame:
 
 
 def histogram(spark: SparkSession, folder: str) -> DataFrame:
-    return _histogram(distributions.long_values(filtered(spark, folder), COLUMNS))
+    return _histogram(quantiles.long_values(filtered(spark, folder), COLUMNS))
 
 
 QUERIES["histogram"] = histogram
@@ -214,7 +214,7 @@ ORACLES["histogram"] = histogram_sql(f"{FILTERED_SQL}, v AS ({long_sql(COLUMNS,
 
 
 def pooled_histogram(spark: SparkSession, folder: str) -> DataFrame:
-    return _histogram(distributions.long_values(filtered(spark, folder), INPUTS, "X"))
+    return _histogram(quantiles.long_values(filtered(spark, folder), INPUTS, "X"))
 
 
 QUERIES["pooled_histogram"] = pooled_histogram
@@ -222,7 +222,7 @@ ORACLES["pooled_histogram"] = histogram_sql(f"{FILTERED_SQL}, v AS ({long_sql(IN
 
 
 def lineitem_histogram(spark: SparkSession, folder: str) -> DataFrame:
-    return _histogram(distributions.long_values(table(spark, folder, "lineitem"), PRICES))
+    return _histogram(quantiles.long_values(table(spark, folder, "lineitem"), PRICES))
 
 
 QUERIES["lineitem_histogram"] = lineitem_histogram
@@ -263,7 +263,7 @@ def _density(values: DataFrame) -> DataFrame:
 
 
 def kde(spark: SparkSession, folder: str) -> DataFrame:
-    return _density(distributions.long_values(filtered(spark, folder), COLUMNS))
+    return _density(quantiles.long_values(filtered(spark, folder), COLUMNS))
 
 
 QUERIES["kde"] = kde
@@ -271,7 +271,7 @@ ORACLES["kde"] = density_sql(f"{FILTERED_SQL}, v AS ({long_sql(COLUMNS, 'flt')})
 
 
 def pooled_kde(spark: SparkSession, folder: str) -> DataFrame:
-    return _density(distributions.long_values(filtered(spark, folder), INPUTS, "X"))
+    return _density(quantiles.long_values(filtered(spark, folder), INPUTS, "X"))
 
 
 QUERIES["pooled_kde"] = pooled_kde
@@ -280,7 +280,7 @@ ORACLES["pooled_kde"] = density_sql(f"{FILTERED_SQL}, v AS ({long_sql(INPUTS, 'f
 
 def lineitem_kde(spark: SparkSession, folder: str) -> DataFrame:
     prices = ["l_extendedprice"]
-    return _density(distributions.long_values(table(spark, folder, "lineitem"), prices))
+    return _density(quantiles.long_values(table(spark, folder, "lineitem"), prices))
 
 
 QUERIES["lineitem_kde"] = lineitem_kde

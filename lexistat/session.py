@@ -5,8 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+# The planner gives sizes near the largest long to what it knows nothing about.
+UNKNOWN_SIZE = 1 << 60
+# More partitions than this cost the driver more than they give the tasks.
+MOST_PARTS = 200_000
 
 
 def local_session(app: str = "lexistat", cores: int | str = "*") -> SparkSession:
@@ -58,12 +62,33 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def full_splits(df: DataFrame) -> int | None:
+    """Number of full input splits in the planner's size estimate of ``df``; None if unknown."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= UNKNOWN_SIZE:
+        return None
+    return size // df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+
+
 def few_splits(df: DataFrame) -> bool:
-    """True where the planner's size estimate gives fewer full input splits than there are cores."""
+    """True where a table is known to have fewer full splits than there are cores."""
+    splits = full_splits(df)
+    return splits is not None and splits < df.sparkSession.sparkContext.defaultParallelism
+
+
+def shuffle_parts(df: DataFrame) -> int:
+    """Partitions for moving whole rows of ``df``: one per core, more for a large table."""
     spark = df.sparkSession
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    return int(str(size)) < spark.sparkContext.defaultParallelism * split
+    splits, cores = full_splits(df), spark.sparkContext.defaultParallelism
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if splits is None:
+        return usual
+    return cores if splits < cores else min(max(usual, splits), MOST_PARTS)
+
+
+def placed(df: DataFrame, key: str) -> DataFrame:
+    """Hash a table of any size by ``key``, so that work per key needs no further shuffle."""
+    return df.repartition(shuffle_parts(df), key)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -71,13 +96,4 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
     A large table is returned as it is: it has splits enough, and its text is not shuffled.
     """
-    if few_splits(df):
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
-    return df
-
-
-def placed(df: DataFrame, key: str) -> DataFrame:
-    """Hash a table of any size by ``key``, so that work per key needs no further shuffle."""
-    if few_splits(df):
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
-    return df.repartition(key)
+    return placed(df, key) if few_splits(df) else df

@@ -58,7 +58,7 @@ def test_complete_cases_drop_null_and_nan(spark):
 
 
 def test_histogram_mass_is_one(frame):
-    bins = distributions.histogram(distributions.long_values(frame, list(SAMPLES))).collect()
+    bins = distributions.histogram(quantiles.long_values(frame, list(SAMPLES))).collect()
     for name in SAMPLES:
         mine = [r for r in bins if r["column"] == name]
         assert sum(r["count"] for r in mine) == 2000
@@ -67,7 +67,7 @@ def test_histogram_mass_is_one(frame):
 
 def test_histogram_classes_are_closed_on_the_right(spark):
     df = spark.createDataFrame([(float(v),) for v in [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10]], "x double")
-    bins = distributions.histogram(distributions.long_values(df, ["x"])).orderBy("bin").collect()
+    bins = distributions.histogram(quantiles.long_values(df, ["x"])).orderBy("bin").collect()
     assert [r["right"] for r in bins] == [2.0, 4.0, 6.0, 8.0, 10.0]
     assert [r["count"] for r in bins] == [3, 2, 2, 2, 2]
 
@@ -82,7 +82,7 @@ def test_pretty_width(spark, low, high, classes, width):
 
 def test_density_is_close_to_the_kernel_sum(frame):
     names = ["normal", "hot"]
-    rows = distributions.kernel_density(distributions.long_values(frame, names)).collect()
+    rows = distributions.kernel_density(quantiles.long_values(frame, names)).collect()
     for name in names:
         values, mine = SAMPLES[name], [r for r in rows if r["column"] == name]
         assert len(mine) == distributions.GRID_POINTS
