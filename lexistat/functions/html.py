@@ -4,29 +4,22 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The entities decoded in page text, the ampersand last.
-ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-)
-
-ANCHOR = r'<a href="([^"]*)"[^>]*>([^<]*)</a>'
-CARD_TITLE = r'<h3 class="title"><a href="([^"]*)"[^>]*>([^<]*)</a>'
-STEP = r'<a class="step"[^>]*>([^<]*)</a>'
-BADGE = r'<span class="concept-badge-small-container">([^<]*)</span>'
-PERSONS = r'(?s)<p class="relations persons">(.*?)</p>'
-RENDERED = r'(?s)<div class="rendering_researchoutput">(.*?)</div>'
-BIBTEX = r'(?s)<pre class="rendering_researchoutput_bibtex">(.*?)</pre>'
+# The marks of the portal pages that are read.
+ANCHOR = r'(?s)<a\b[^>]*?\bhref="([^"]*)"[^>]*>(.*?)</a>'
+CARD_TITLE = r'(?s)<h3\b[^>]*\bclass="title"[^>]*>\s*<a\b[^>]*?\bhref="([^"]*)"[^>]*>(.*?)</a>'
+STEP = r'(?s)<a\b[^>]*\bclass="step"[^>]*>(.*?)</a>'
+BADGE = r'(?s)<span\b[^>]*\bclass="concept-badge-small-container"[^>]*>(.*?)</span>'
+PERSONS = r'(?s)<p\b[^>]*\bclass="relations persons"[^>]*>(.*?)</p>'
+RENDERED = r'(?s)<div\b[^>]*\bclass="rendering_researchoutput"[^>]*>(.*?)</div>'
+BIBTEX = r'(?s)<pre\b[^>]*\bclass="rendering_researchoutput_bibtex"[^>]*>(.*?)</pre>'
+TITLE = r"(?is)<title\b[^>]*>(.*?)</title>"
+
+AMPERSANDS = ("amp", "AMP", "#38", "#x26")
 
 
 def first_group(text: Column, pattern: str, group: int = 1) -> Column:
@@ -47,22 +40,51 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _character(name: Column) -> Column:
+    """Character of an entity by name, decimal or hexadecimal number; NULL if there is none."""
+    listed = ",".join(f"{entity}:{point}" for entity, point in name2codepoint.items())
+    point = (
+        F.when(name.rlike("^#[0-9]{1,7}$"), F.substr(name, F.lit(2)))
+        .when(name.rlike("^#[xX][0-9A-Fa-f]{1,6}$"), F.conv(F.substr(name, F.lit(3)), 16, 10))
+        .otherwise(F.try_element_at(F.str_to_map(F.lit(listed)), name))
+    ).cast("bigint")
+    known = F.when(point.between(1, 0x10FFFF), point)
+    return F.decode(F.unhex(F.lpad(F.hex(known), 8, "0")), "UTF-32")
+
+
 def unescape(text: Column) -> Column:
-    for entity, character in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    return text
+    """Text with its entities decoded, each once: what an ampersand entity leaves stays as it is."""
+
+    def decoded(whole: Column) -> Column:
+        names = F.array_distinct(all_groups(whole, "&(#?[A-Za-z0-9]+);"))
+        others = F.filter(names, lambda name: ~name.isin(*AMPERSANDS))
+
+        def put(done: Column, name: Column) -> Column:
+            entity = F.concat(F.lit("&"), name, F.lit(";"))
+            return F.coalesce(F.replace(done, entity, _character(name)), done)
+
+        result = F.aggregate(others, whole, put)
+        for name in AMPERSANDS:
+            result = F.replace(result, F.lit(f"&{name};"), F.lit("&"))
+        return result
+
+    return bound(text, lambda t: F.when(t.contains("&"), decoded(t)).otherwise(t))
+
+
+def without_tags(html: Column) -> Column:
+    return F.regexp_replace(html, r"<[^>]*>", "")
 
 
 def plain_text(html: Column) -> Column:
     """Text of a page: scripts, styles, comments and tags removed, entities decoded."""
-    text = F.regexp_replace(html, r"(?s)<script.*?</script>", "")
-    text = F.regexp_replace(text, r"(?s)<style.*?</style>", "")
+    text = F.regexp_replace(html, r"(?is)<script\b.*?</script\s*>", "")
+    text = F.regexp_replace(text, r"(?is)<style\b.*?</style\s*>", "")
     text = F.regexp_replace(text, r"(?s)<!--.*?-->", "")
-    return unescape(F.regexp_replace(text, r"<[^>]*>", ""))
+    return unescape(without_tags(text))
 
 
 def page_title(html: Column) -> Column:
-    return unescape(first_group(html, r"<title>([^<]*)</title>"))
+    return unescape(without_tags(first_group(html, TITLE)))
 
 
 def links(html: Column, pattern: str = ANCHOR) -> Column:
@@ -72,14 +94,17 @@ def links(html: Column, pattern: str = ANCHOR) -> Column:
     )
     return F.transform(
         pairs,
-        lambda p: F.struct(F.trim(unescape(p["name"])).alias("name"), p["link"].alias("link")),
+        lambda p: F.struct(
+            F.trim(unescape(without_tags(p["name"]))).alias("name"),
+            unescape(p["link"]).alias("link"),
+        ),
     )
 
 
 def last_page(html: Column, default: int = 0) -> Column:
     """Number on the last pagination step, ``default`` where there is none or no number."""
     last = F.try_element_at(all_groups(html, STEP), F.lit(-1))
-    return F.coalesce(F.trim(last).try_cast("int"), F.lit(default))
+    return F.coalesce(F.trim(without_tags(last)).try_cast("int"), F.lit(default))
 
 
 def page_urls(base: Column, last: Column) -> Column:

@@ -22,7 +22,7 @@ def parse_publications(pages: DataFrame, key: str, text: str = "html") -> DataFr
     page = F.col(text)
     persons = html.first_group(page, html.PERSONS)
     rendered = html.first_group(page, html.RENDERED)
-    bib = html.unescape(html.first_group(page, html.BIBTEX))
+    bib = html.unescape(html.without_tags(html.first_group(page, html.BIBTEX)))
     read = pages.select(
         F.col(key).alias("id"),
         html.plain_text(persons).alias("names"),
@@ -30,7 +30,7 @@ def parse_publications(pages: DataFrame, key: str, text: str = "html") -> DataFr
         bib.alias("bib"),
         html.detail_and_output(html.plain_text(rendered)).alias("lines"),
         F.get(html.links(page, html.CARD_TITLE), F.lit(0))["link"].alias("link"),
-        F.transform(html.all_groups(page, html.BADGE), html.unescape).alias("concepts"),
+        F.transform(html.all_groups(page, html.BADGE), html.plain_text).alias("concepts"),
     )
     field = {name: bibtex.field(F.col("bib"), name) for name in bibtex.FIELDS}
     return read.select(

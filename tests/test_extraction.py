@@ -67,6 +67,32 @@ def test_plain_text_drops_code_and_decodes(spark):
     assert one(spark, page, html.plain_text) == "a &lt; b©"
 
 
+@pytest.mark.parametrize(
+    "text, wanted",
+    [
+        ("no entity", "no entity"),
+        ("a &lt;b&gt; &eacute;&#233;&#xE9;&#x1F600;", "a <b> \u00e9\u00e9\u00e9\U0001f600"),
+        ("&amp;lt; &#38;lt; &amp;#39; &AMP;amp;", "&lt; &lt; &#39; &amp;"),
+        ("&nosuch; & &#xFFFFFFFF; &#; fish&chips;", "&nosuch; & &#xFFFFFFFF; &#; fish&chips;"),
+        (None, None),
+    ],
+)
+def test_entities_are_decoded_once(spark, text, wanted):
+    assert one(spark, text, html.unescape) == wanted
+
+
+def test_result_cards_with_attributes_and_inner_tags(spark):
+    page = (
+        '<h3 class="title"><a rel="x" href="/p?a=1&amp;b=2" class="link"><span>A &amp; B</span></a></h3>'
+        '<h3 class="other"><a href="/no">No</a></h3>'
+        '<h3 class="title">\n<a href="/q">C</a></h3>'
+    )
+    cards = records.result_cards(spark.createDataFrame([(1, page)], "id int, html string"), ["id"])
+    assert [(r["place"], r["name"], r["link"]) for r in cards.collect()] == [
+        (0, "A & B", "/p?a=1&b=2"), (1, "C", "/q"),
+    ]
+
+
 @pytest.mark.parametrize("steps, wanted", [("", 0), ("1 2 7", 7), ("1 next", 0)])
 def test_last_page(spark, steps, wanted):
     page = "".join(f'<a class="step">{s}</a>' for s in steps.split())
