@@ -6,6 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MODULUS = 4294967296
+HALF = 65536
+
+# Fixed value: the factor of the multiplicative hash.
+HASH_FACTOR = 2654435761
 
 # Multiplier and increment of the reproducible draws, one pair per stream.
 DRAW_STREAMS = ((1664525, 1013904223), (22695477, 12345))
@@ -40,8 +44,14 @@ FAR_TAIL = (
 
 
 def hash_unit(key: Column) -> Column:
-    """A number in [0, 1) fixed by an integer key; the same in every run and engine."""
-    return F.pmod(key.cast("bigint") * F.lit(2654435761), F.lit(MODULUS)) / F.lit(float(MODULUS))
+    """A number in [0, 1) fixed by an integer key; the same in every run and engine.
+
+    It is ``key * HASH_FACTOR mod 2^32``, multiplied in two halves so that no key overflows.
+    """
+    low = F.pmod(key.cast("bigint"), F.lit(MODULUS))
+    upper = F.pmod(F.shiftright(low, 16) * F.lit(HASH_FACTOR), F.lit(HALF)) * F.lit(HALF)
+    product = upper + low.bitwiseAND(F.lit(HALF - 1)) * F.lit(HASH_FACTOR)
+    return F.pmod(product, F.lit(MODULUS)) / F.lit(float(MODULUS))
 
 
 def draw_unit(index: Column, stream: int) -> Column:

@@ -39,24 +39,30 @@ def least_rss(fit: Fit) -> float:
     return (fit.n - 1) * fit.y_sd**2 * (1 - explained)
 
 
-def draws(spark: SparkSession, fit: Fit, n: int, rss: float | None = None) -> DataFrame:
+def draws(
+    spark: SparkSession, fit: Fit, n: int, rss: float | None = None, seed: int | None = None
+) -> DataFrame:
     """``n`` draws of the free coefficients, uniform within their own size, with RSS and limit.
 
-    Each draw is scored from the moments, so the draws never meet the rows.
+    Each draw is scored from the moments, so the draws never meet the rows. Without a seed the
+    draws come from a fixed sequence that any engine can repeat; with one, from Spark's generator.
     """
     if fit.theta is None:
         raise ValueError("the model has no coefficients")
     first, second = free_parameters(fit)
-    theta = [F.lit(value) for value in fit.theta]
     limit = TOLERANCE * (least_rss(fit) if rss is None else rss)
+
+    def drawn_value(stream: int, parameter: int) -> Column:
+        size = abs(fit.theta[parameter])
+        unit = draw_unit(F.col("id"), stream) if seed is None else F.rand(seed + stream)
+        return unit * F.lit(2 * size) - F.lit(size)
+
     drawn = spark.range(1, n + 1).select(
         F.col("id").alias("draw_id"),
-        *[
-            (draw_unit(F.col("id"), stream) * F.lit(2 * abs(fit.theta[i])) - F.lit(abs(fit.theta[i]))
-             ).alias(name)
-            for stream, (name, i) in enumerate((("theta_a", first), ("theta_b", second)))
-        ],
+        drawn_value(0, first).alias("theta_a"),
+        drawn_value(1, second).alias("theta_b"),
     )
+    theta = [F.lit(value) for value in fit.theta]
     theta[first], theta[second] = F.col("theta_a"), F.col("theta_b")
     return drawn.withColumn("rss", rss_at(fit, theta)).withColumn("limit", F.lit(limit))
 

@@ -145,6 +145,23 @@ def test_draws_are_scored_as_rows_would(spark, fits):
     assert kept + lost == 200 and kept < 200
 
 
+def test_seeded_draws_repeat_and_fill_the_prior(spark, fits):
+    fit = next(f for f in fits if f.model == "model5")
+    once, again = (posterior.draws(spark, fit, 3000, seed=5).collect() for _ in range(2))
+    assert once == again
+    size = abs(fit.theta[posterior.free_parameters(fit)[0]])
+    a = np.array([r["theta_a"] for r in once])
+    assert np.abs(a).max() <= size and abs(a.mean()) < 0.1 * size
+
+
+@pytest.mark.parametrize("key", [0, 1, 799, 3_500_000_000, 2**40 + 12345, 2**62])
+def test_split_hash_holds_for_any_key(spark, key):
+    from lexistat.functions.numeric import hash_unit
+
+    row = spark.range(key, key + 1).select(hash_unit(F.col("id")).alias("u")).first()
+    assert row["u"] == (key * 2654435761 % 2**32) / 2**32
+
+
 TEXTS = [
     (0, "shares fell after the bank report", "money"), (1, "the bank raised lending rates", "money"),
     (2, "profit of the bank rose", "money"), (3, "new vaccine for the virus", "health"),
