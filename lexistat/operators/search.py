@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexistat.functions.text import STOP_WORDS, clean_text, vector_terms
-from lexistat.operators.terms import cleaned, fit_idf, normalised, term_counts
+from lexistat.operators.terms import cleaned, fit_idf, for_lookup, normalised, term_counts
 from lexistat.session import shuffle_parts, stage
 
 PAGE_SIZE = 30
@@ -52,7 +52,7 @@ def build_index(
     clean = cleaned(docs, text, key, stop_words, lemmas)
     idf = fit_idf(clean, vector_terms(F.col("clean")), key)
     moved = cleaned(docs, text, key, stop_words, lemmas, place=True)
-    return normalised(index_rows(moved, key), idf, key, "left"), idf
+    return normalised(index_rows(moved, key), for_lookup(idf), key, "left"), idf
 
 
 def write_index(index: DataFrame, idf: DataFrame, path: str) -> None:
@@ -85,7 +85,7 @@ def query_terms(
     else:
         clean = cleaned(queries, "query", "query_id", stop_words, lemmas)
     rows = index_rows(clean, "query_id")
-    known = idf.join(rows.select("term").distinct(), "term", "left_semi")
+    known = idf.select("term", "idf").join(rows.select("term").distinct(), "term", "left_semi")
     return stage(normalised(rows, known, "query_id", "left"), "query_terms")
 
 

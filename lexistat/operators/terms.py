@@ -12,6 +12,7 @@ from lexistat.operators.ordering import global_index
 from lexistat.session import few_splits, shuffle_parts, spread, stage
 
 BLOCK_DOCUMENTS = 4096
+BROADCAST_TERMS = 2_000_000
 
 
 def cleaned(
@@ -82,18 +83,27 @@ def document_frequencies(docs: DataFrame, terms: Column) -> DataFrame:
 def fit_idf(docs: DataFrame, terms: Column, key: str = "doc_id") -> DataFrame:
     """``(term, df, idf)`` with ``idf = ln((1 + n) / (1 + df)) + 1``, staged.
 
-    Staging gives the table a known size: weighting broadcasts it while it is small and sorts
-    and merges, with skew splitting, when the vocabulary has outgrown that.
+    Staging gives the table a known size, on which ``for_lookup`` decides.
     """
     n = docs.agg(F.count(key).alias("n")).scalar()
     idf = F.ln((n + 1) / (F.col("df") + 1)) + 1
     return stage(document_frequencies(docs, terms).withColumn("idf", idf), "idf")
 
 
+def for_lookup(idf: DataFrame) -> DataFrame:
+    """The fitted vocabulary, broadcast while it is counted to have at most BROADCAST_TERMS rows.
+
+    Up to there the term rows stay with their documents. A larger vocabulary is left to the
+    planner: sort-merge, with skew splitting for terms that are in very many documents.
+    """
+    known = idf.select("term", "idf")
+    return F.broadcast(known) if idf.count() <= BROADCAST_TERMS else known
+
+
 def normalised(counts: DataFrame, idf: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Weights ``tf * idf`` divided by their Euclidean length per document, as column ``w``."""
+    """``counts`` with weights ``w``: ``tf * idf`` divided by their Euclidean length per document."""
     raw = F.col("tf") * F.col("idf")
-    weighted = counts.join(idf.select("term", "idf"), "term", how).withColumn("w", raw)
+    weighted = counts.join(idf, "term", how).withColumn("w", raw)
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
     return weighted.withColumn("w", F.col("w") / F.nullif(length, F.lit(0.0))).drop("idf")
 
@@ -103,7 +113,7 @@ def tfidf_weights(
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """``(key, carry, term, tf, w)``; terms outside the fitted vocabulary are dropped."""
-    return normalised(term_counts(docs, terms, key, carry), idf, key)
+    return normalised(term_counts(docs, terms, key, carry), for_lookup(idf), key)
 
 
 def vocabulary(frequencies: DataFrame) -> DataFrame:

@@ -119,6 +119,25 @@ def test_stored_index_gives_the_same_scores(spark, built, tmp_path):
     assert all(ours[k] == pytest.approx(theirs[k], abs=1e-12) for k in theirs)
 
 
+def test_sort_merge_route_gives_the_same_scores(spark, built, corpus, monkeypatch):
+    asked = spark.createDataFrame(QUERIES, "query_id int, query string")
+
+    def rows(index, idf):
+        found = search.scores(index, search.query_terms(asked, idf)).collect()
+        return {(r["query_id"], r["doc_id"]): round(r["score"], 12) for r in found}
+
+    wanted = rows(*built)
+    monkeypatch.setattr(terms, "BROADCAST_TERMS", 0)
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    try:
+        for name in names:
+            spark.conf.set(name, "-1")
+        assert rows(*search.build_index(corpus)) == wanted
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+
+
 def test_weights_have_unit_length(corpus):
     clean = terms.cleaned(corpus)
     words = F.filter(F.split("clean", " "), lambda t: F.length(t) >= 2)
