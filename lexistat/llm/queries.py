@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexistat.llm import licenses, mixing
+from lexistat.llm import licenses, mixing, quality, toxicity
 from lexistat.sources.tables import table
 
 
@@ -14,14 +14,24 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op7_quality": op7_quality,
     "op8_source_mix": op8_source_mix,
+    "op9_toxicity": op9_toxicity,
 }
 ORACLES: dict[str, str] = {"op1_license_scan": licenses.SQL, "op8_source_mix": mixing.SQL}
