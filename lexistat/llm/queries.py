@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexistat.llm import licenses, mixing, quality, toxicity
+from lexistat.llm import licenses, mixing, packing, quality, toxicity
 from lexistat.sources.tables import table
 
 
@@ -14,6 +14,11 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack(table(spark, folder, "documents"))
+    return packed.withColumns({c: packed[c].cast("long") for c in ("length", "offset")})
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -30,6 +35,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op7_quality": op7_quality,
     "op8_source_mix": op8_source_mix,
     "op9_toxicity": op9_toxicity,
