@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexistat.llm import licenses, mixing, packing, quality, toxicity
+from lexistat.llm import binary, licenses, mixing, packing, quality, toxicity
+from lexistat.session import shared_folder
 from lexistat.sources.tables import table
 
 
@@ -19,6 +21,12 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.withColumns({c: packed[c].cast("long") for c in ("length", "offset")})
 
 
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    files = f"{shared_folder(spark)}/tokens/{uuid.uuid4().hex}"
+    binary.write(table(spark, folder, "documents"), files)
+    return binary.read(spark, files)
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -36,6 +44,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
     "op8_source_mix": op8_source_mix,
     "op9_toxicity": op9_toxicity,
