@@ -6,8 +6,9 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexistat.llm import binary, licenses, mixing, packing, quality, toxicity
+from lexistat.llm import adscan, binary, licenses, mixing, mtree, packing, quality, toxicity
 from lexistat.session import shared_folder
 from lexistat.sources.tables import table
 
@@ -16,6 +17,14 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op3_inner_product_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return mtree.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op4_cosine_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return adscan.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(table(spark, folder, "documents"))
     return packed.withColumns({c: packed[c].cast("long") for c in ("length", "offset")})
@@ -43,6 +52,8 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op3_inner_product_topk": op3_inner_product_topk,
+    "op4_cosine_neighbours": op4_cosine_neighbours,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
