@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexistat.llm import adscan, binary, licenses, mixing, mtree, packing, quality, toxicity
+from lexistat.llm import adscan, binary, licenses, linededup, mixing, mtree, packing, quality, toxicity
 from lexistat.session import shared_folder
 from lexistat.sources.tables import table
 
@@ -50,6 +50,11 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = linededup.cleaned(table(spark, folder, "documents"))
+    return done.select("row.doc_id", "n_lines", "n_removed", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op3_inner_product_topk": op3_inner_product_topk,
@@ -59,5 +64,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality": op7_quality,
     "op8_source_mix": op8_source_mix,
     "op9_toxicity": op9_toxicity,
+    "op10_line_dedup": op10_line_dedup,
 }
 ORACLES: dict[str, str] = {"op1_license_scan": licenses.SQL, "op8_source_mix": mixing.SQL}
