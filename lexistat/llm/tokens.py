@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -21,23 +23,29 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END = 2
 
-KEPT_PIECES = 200_000  # in each of two generations
+KEPT_PIECES = 400_000  # in each of two generations
 LONG_TEXT = 1 << 20  # characters cut at once
 BATCH_CHARS = 1 << 20
 
-# White space on whose class libraries differ; texts with it, or with what may be a special
-# token, are encoded whole.
+# Characters on whose class libraries may differ; texts with them, or with what may be a special
+# token, are encoded whole, and so are those that a vocabulary would first compose.
 _unusual = re.compile(
-    r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f-\u2064\u3000\ufeff]|<\|"
+    r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f-\u2064\u3000\ufeff"
+    r"\U00010000-\U0010ffff]|<\|"
 )
 _inside_space = re.compile(r"(?<=[^\s])(?= [^\s])")
-# One space belongs to the word behind it; of a longer run, all but the last character stand alone.
-_pieces_with_space = re.compile(r" ?[^\s]+|\s+(?!\S)|\s+").findall
+# Letters and digits are tokens apart from the marks around them, but for an apostrophe before a word,
+# which may be part of it. One space belongs to what is behind it; of a longer run of white space,
+# all but the last character stand alone.
+_word = r"[^\W_]+(?:'[^\W_]+)*"
+_marks = r"(?:[^\w\s]|_)+"
+_pieces_with_space = re.compile(rf"[ ']?{_word}| ?{_marks}|\s+(?!\S)|\s+").findall
+_bare_pieces = re.compile(rf"'?{_word}|{_marks}").findall
 
 
 def _pieces_without_space(text: str) -> list[str]:
     # Case of ASCII letters is dropped by the vocabulary; the library drops that of all others.
-    return text.encode("utf-8", "replace").lower().decode().split()
+    return _bare_pieces(text.encode("utf-8", "replace").lower().decode())
 
 
 class Encoder:
@@ -51,22 +59,20 @@ class Encoder:
 
     def _library_ids(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
 
     def _learn(self, needed: set[str]) -> None:
         """Have all ``needed`` pieces in the young generation; a full one becomes the old one."""
         missing = needed - self.young.keys()
         if len(self.young) + len(missing) > KEPT_PIECES:
             self.old, self.young, missing = self.young, {}, needed
-        fresh = []
-        for piece in missing:
-            if piece in self.old:
-                self.young[piece] = self.old[piece]
-            else:
-                fresh.append(piece)
+        young, old = self.young, self.old
+        carried = missing & old.keys()
+        young.update({piece: old[piece] for piece in carried})
+        fresh = list(missing - carried)
         for at in range(0, len(fresh), 4096):
             some = fresh[at : at + 4096]
-            self.young.update(zip(some, self._library_ids(some), strict=True))
+            young.update(zip(some, self._library_ids(some), strict=True))
 
     def _cut(self, text: str) -> Iterator[str]:
         """Parts of a very long text, cut before single spaces between words."""
@@ -80,7 +86,7 @@ class Encoder:
         yield text[begin:] if begin else text
 
     def _some(self, texts: list[str]) -> list[bytes]:
-        plain = [not _unusual.search(t) for t in texts]
+        plain = [not _unusual.search(t) and is_normalized("NFC", t) for t in texts]
         cut = [self.pieces(t) if ok else [] for t, ok in zip(texts, plain, strict=True)]
         needed = set().union(*cut)
         # More pieces than a generation holds can only come from few texts; they are done one by one.
