@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexistat.llm import adscan, binary, licenses, linededup, mixing, mtree, packing, quality, toxicity
+from lexistat.llm import adscan, binary, chosenpath, licenses, linededup, mixing, mtree, packing, quality, toxicity
 from lexistat.session import shared_folder
 from lexistat.sources.tables import table
 
@@ -17,6 +17,10 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return chosenpath.linked(table(spark, folder, "documents"), size=3, percent=85)
+
+
 def op3_inner_product_topk(spark: SparkSession, folder: str) -> DataFrame:
     return mtree.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -57,6 +61,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_inner_product_topk": op3_inner_product_topk,
     "op4_cosine_neighbours": op4_cosine_neighbours,
     "op5_best_fit_packing": op5_best_fit_packing,
