@@ -1,0 +1,74 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lexistat.llm import adscan, mtree
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+ODD = [
+    (None, [1.0, 2.0], 0), (50, None, 0), (100, [], 0), (150, [1.0, None], 0), (200, [float("nan"), 1.0], 0),
+    (250, [float("inf"), 1.0], 0), (300, [0.0, 0.0], 0), (350, [1.0, 2.0, 3.0], 0),
+]
+
+
+def asked():
+    return F.col("vec_id") % 50 == 0
+
+
+def points(n, dim, seed=1):
+    x = np.random.default_rng(seed).normal(size=(n, dim)).astype(np.float32)
+    x[n // 2 : n // 2 + n // 4] = x[0]  # many equal vectors
+    return x
+
+
+def brute(x, score, k=5):
+    out = set()
+    for q in range(0, len(x), 50):
+        own = score[q].copy()
+        own[q] = -np.inf
+        for rank, j in enumerate(np.lexsort((np.arange(len(x)), -own))[:k], 1):
+            out.add((q, rank, int(j), own[j]))
+    return out
+
+
+@pytest.mark.parametrize("rows", [2, 3, 700])
+def test_inner_product_equals_brute_force(spark, rows):
+    x = points(rows, 8)
+    table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA)
+    got = {tuple(r) for r in mtree.search(table, asked(), tree_rows=300).collect()}
+    grid = np.floor(x.astype(np.float64) * 256)
+    assert got == {r for r in brute(x, grid @ grid.T) if r[3] > -np.inf}
+
+
+def test_bounds_save_distances():
+    centres = np.random.default_rng(2).normal(size=(30, 4)) * 2000
+    x = np.floor(np.repeat(centres, 100, axis=0) + np.random.default_rng(3).normal(size=(3000, 4)) * 9)
+    tree = mtree.Tree(**mtree.Tree.built(np.arange(3000), x))
+    tree.search(0, x[0], 5)
+    assert tree.computed < 1500
+
+
+def test_cosine_recall_and_scores(spark):
+    x = points(800, 16)
+    table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA)
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    score = unit @ unit.T
+    got = adscan.search(table, asked()).collect()
+    assert len(got) == 16 * 5
+    assert all(math.isclose(r["score"], score[r["query_id"], r["vec_id"]], abs_tol=1e-12) for r in got)
+    # Equal vectors are ties: count what is as near as the true ones.
+    fifth = {q: np.sort(np.delete(score[q], q))[-5] for q in range(0, 800, 50)}
+    assert sum(r["score"] >= fifth[r["query_id"]] - 1e-9 for r in got) >= 0.9 * len(got)
+
+
+@pytest.mark.parametrize("search", [mtree.search, adscan.search])
+def test_awkward_rows(spark, search):
+    odd = spark.createDataFrame([*ODD, (400, [1.0, 1.0], 0), (401, [1.0, 1.0], 0), (403, [1.0, 1.0], 0)], SCHEMA)
+    got = [tuple(r)[:3] for r in search(odd, asked()).collect() if r["query_id"] == 400]
+    assert got[0] == (400, 1, 401) and got[1] == (400, 2, 403)
+    names = {r["vec_id"] for r in search(odd, asked()).collect()}
+    assert not names & {None, 50, 100, 150, 200, 250, 350}
+    assert search(spark.createDataFrame([], SCHEMA), asked()).collect() == []
+    assert search(spark.createDataFrame([(50, [1.0], 0)], SCHEMA), asked()).collect() == []
