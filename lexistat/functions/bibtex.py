@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexistat.functions.html import first_group
+from lexistat.functions.html import first_group, stripped
 
+# The fields that are read.
 FIELDS = ("title", "year", "month", "day", "abstract")
 
 
@@ -20,16 +21,35 @@ def bare_month(bib: Column) -> Column:
     return first_group(bib, r'\bmonth\s*=\s*([^"]+),')
 
 
+def _balanced(depth: int) -> str:
+    """Text whose braces are balanced, nested up to ``depth`` times."""
+    inner = r"[^{}]*+"
+    for _ in range(depth):
+        inner = rf"[^{{}}]*+(?:\{{{inner}\}}[^{{}}]*+)*+"
+    return inner
+
+
+DEPTH = 4
+BALANCED = _balanced(DEPTH)
+
+
 def field(bib: Column, name: str) -> Column:
-    """Value in quotes or braces, over several lines, trimmed, outer braces taken off."""
-    value = first_group(bib, rf'(?s)\b{name}\s*=\s*["{{](.*?)["}}],')
-    return F.regexp_replace(F.trim(value), r"^[{}]+|[{}]+$", "")
+    """Value in quotes, in balanced braces or bare, over several lines; a comma need not follow.
+
+    White space around it is trimmed, and braces around the whole of it are taken off.
+    """
+    start = rf"\b{name}\s*=\s*"
+    value = F.coalesce(
+        first_group(bib, rf'{start}"([^"]*)"'),
+        first_group(bib, rf"{start}\{{({BALANCED})\}}"),
+        first_group(bib, rf"{start}([A-Za-z0-9]+)"),
+    )
+    return stripped(F.regexp_replace(stripped(value), rf"^\{{({BALANCED})\}}$", "$1"))
 
 
 def month(bib: Column) -> Column:
     """Month bare, in quotes or in braces."""
-    bare = first_group(bib, r"\bmonth\s*=\s*([A-Za-z0-9]+)\s*,")
-    return F.coalesce(bare, field(bib, "month"))
+    return field(bib, "month")
 
 
 def authors(joined: Column) -> Column:

@@ -9,14 +9,28 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
+def _mark(tag: str, *classes: str) -> str:
+    """Opening tag that has the classes among its own, in any order and either quotes."""
+    have = "".join(
+        rf"""(?=[^>]*\bclass\s*=\s*(?:"(?:[^">]*\s)?{c}(?:\s[^">]*)?"|'(?:[^'>]*\s)?{c}(?:\s[^'>]*)?'|{c}[\s>]))"""
+        for c in classes
+    )
+    return rf"<{tag}\b{have}[^>]*>"
+
+
+# What a tag holds up to its own end, other tags of its kind inside included.
+_NESTED = r"(?:[^<]++|<(?!/?{tag}\b)|<{tag}\b[^>]*+>(?:[^<]++|<(?!/?{tag}\b)|<{tag}\b[^>]*+>(?:[^<]++|<(?!/?{tag}\b))*+</{tag}>)*+</{tag}>)*+"
+_HREF = r"""\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+
 # The marks of the portal pages that are read.
-ANCHOR = r'(?s)<a\b[^>]*?\bhref="([^"]*)"[^>]*>(.*?)</a>'
-CARD_TITLE = r'(?s)<h3\b[^>]*\bclass="title"[^>]*>\s*<a\b[^>]*?\bhref="([^"]*)"[^>]*>(.*?)</a>'
-STEP = r'(?s)<a\b[^>]*\bclass="step"[^>]*>(.*?)</a>'
-BADGE = r'(?s)<span\b[^>]*\bclass="concept-badge-small-container"[^>]*>(.*?)</span>'
-PERSONS = r'(?s)<p\b[^>]*\bclass="relations persons"[^>]*>(.*?)</p>'
-RENDERED = r'(?s)<div\b[^>]*\bclass="rendering_researchoutput"[^>]*>(.*?)</div>'
-BIBTEX = r'(?s)<pre\b[^>]*\bclass="rendering_researchoutput_bibtex"[^>]*>(.*?)</pre>'
+ANCHOR = rf"(?s)<a\b[^>]*?{_HREF}[^>]*>(.*?)</a>"
+CARD_TITLE = rf"(?s){_mark('h3', 'title')}\s*<a\b[^>]*?{_HREF}[^>]*>(.*?)</a>"
+STEP = rf"(?s){_mark('a', 'step')}(.*?)</a>"
+BADGE = rf"(?s){_mark('span', 'concept-badge-small-container')}({_NESTED.format(tag='span')})</span>"
+PERSONS = rf"(?s){_mark('p', 'relations', 'persons')}(.*?)</p>"
+RENDERED = rf"(?s){_mark('div', 'rendering_researchoutput')}({_NESTED.format(tag='div')})</div>"
+BIBTEX = rf"(?s){_mark('pre', 'rendering_researchoutput_bibtex')}(.*?)</pre>"
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title>"
 
 AMPERSANDS = ("amp", "AMP", "#38", "#x26")
@@ -31,6 +45,11 @@ def all_groups(text: Column, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
+def stripped(text: Column) -> Column:
+    """Text without the white space around it, line ends and tabs included."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with the value computed once per row.
 
@@ -88,15 +107,19 @@ def page_title(html: Column) -> Column:
 
 
 def links(html: Column, pattern: str = ANCHOR) -> Column:
-    """Anchors in page order as ``array<struct<name, link>>``, names trimmed."""
+    """Anchors in page order as ``array<struct<name, link>>``, names trimmed.
+
+    A target may stand in either quotes or bare: of its three groups the others are empty.
+    """
     pairs = F.arrays_zip(
-        all_groups(html, pattern, 2).alias("name"), all_groups(html, pattern, 1).alias("link")
+        all_groups(html, pattern, 4).alias("name"),
+        *[all_groups(html, pattern, g).alias(f"link{g}") for g in (1, 2, 3)],
     )
     return F.transform(
         pairs,
         lambda p: F.struct(
-            F.trim(unescape(without_tags(p["name"]))).alias("name"),
-            unescape(p["link"]).alias("link"),
+            stripped(unescape(without_tags(p["name"]))).alias("name"),
+            unescape(F.concat(p["link1"], p["link2"], p["link3"])).alias("link"),
         ),
     )
 
@@ -104,7 +127,7 @@ def links(html: Column, pattern: str = ANCHOR) -> Column:
 def last_page(html: Column, default: int = 0) -> Column:
     """Number on the last pagination step, ``default`` where there is none or no number."""
     last = F.try_element_at(all_groups(html, STEP), F.lit(-1))
-    return F.coalesce(F.trim(without_tags(last)).try_cast("int"), F.lit(default))
+    return F.coalesce(stripped(without_tags(last)).try_cast("int"), F.lit(default))
 
 
 def page_urls(base: Column, last: Column) -> Column:
@@ -118,9 +141,9 @@ def authors_from_text(names: Column, anchors: Column) -> Column:
 
     def linked(people: Column) -> Column:
         def one(part: Column) -> Column:
-            same = F.filter(people, lambda a: a["name"] == F.trim(part))
+            same = F.filter(people, lambda a: a["name"] == stripped(part))
             return F.struct(
-                F.trim(part).alias("name"), F.get(same, F.lit(0))["link"].alias("link")
+                stripped(part).alias("name"), F.get(same, F.lit(0))["link"].alias("link")
             )
 
         return F.transform(F.split(names, ","), one)
@@ -142,7 +165,7 @@ def rule_pattern(rule: str) -> str:
 
 
 def robots_lines(text: Column) -> Column:
-    return F.transform(F.split(text, "\r?\n"), lambda line: F.trim(line))
+    return F.transform(F.split(text, "\r\n|\r|\n"), stripped)
 
 
 def robots_directives(text: Column) -> Column:
@@ -155,7 +178,7 @@ def robots_directives(text: Column) -> Column:
     def read(lines: Column) -> Column:
         def values(key: str) -> Column:
             hits = F.filter(lines, lambda line: F.lower(line).startswith(f"{key}:"))
-            return F.transform(hits, lambda line: F.trim(F.substr(line, F.lit(len(key) + 2))))
+            return F.transform(hits, lambda line: stripped(F.substr(line, F.lit(len(key) + 2))))
 
         delay = F.try_element_at(values("crawl-delay"), F.lit(-1)).try_cast("int")
         return F.struct(

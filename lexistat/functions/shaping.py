@@ -2,20 +2,45 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# LaTeX marks that titles hold and the characters they stand for.
+LATEX_MARKS = {
+    r"\textquoteleft": "'",
+    r"\textquoteright": "'",
+    r"\textquotedblleft": '"',
+    r"\textquotedblright": '"',
+    r"\&": "&",
+    r"\$": "$",
+    r"\%": "%",
+    r"\_": "_",
+    r"\#": "#",
+}
+
+
 def latex_title(title: Column) -> Column:
-    """Title without LaTeX marks: the named escapes go first, then all braces."""
-    text = F.regexp_replace(title, r"\{\s*\\textquoteright\s*\}", "'")
-    text = F.regexp_replace(text, r"\{\s*\\textquoteleft\s*\}", "'")
-    text = F.regexp_replace(text, r"\{\s*\\textquotedblright\s*\}", '"')
-    text = F.regexp_replace(text, r"\{\s*\\&\s*\}", "&")
-    text = F.replace(text, F.lit("\\$"), F.lit("$"))
-    text = F.replace(text, F.lit("\\%"), F.lit("%"))
-    text = F.regexp_replace(text, r"[{}]", "")
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    """Title without LaTeX: marks, alone or in braces of their own, become characters; braces go.
+
+    The title is cut at its marks in one pass and joined again with what they stand for.
+    """
+    # Longer marks first, so that none hides behind its beginning.
+    marks = "|".join(re.escape(m) for m in sorted(LATEX_MARKS, key=len, reverse=True))
+    found = rf"\{{\s*(?:{marks})\s*\}}|(?:{marks})"
+    table = F.create_map(*[F.lit(part) for pair in LATEX_MARKS.items() for part in pair])
+    names = F.transform(
+        F.regexp_extract_all(title, F.lit(found), F.lit(0)),
+        lambda m: F.try_element_at(table, F.regexp_replace(m, r"[{}\s]", "")),
+    )
+    between = F.transform(F.split(title, found), lambda text: F.regexp_replace(text, "[{}]", ""))
+    joined = F.array_join(
+        F.transform(F.arrays_zip(between.alias("text"), names.alias("mark")),
+                    lambda x: F.concat(x["text"], F.coalesce(x["mark"], F.lit("")))), ""
+    )
+    return F.trim(F.regexp_replace(joined, r"\s+", " "))
 
 
 def capitalise(text: Column) -> Column:
@@ -104,6 +129,7 @@ def listed_links_only(authors: Column, names: list[str]) -> Column:
 
 
 def search_text(title: Column, authors: Column, names: list[str]) -> Column:
-    """Title followed by the listed authors' names."""
+    """Title followed by the listed authors' names; what is missing is left blank."""
     listed = F.transform(F.filter(authors, lambda a: a["name"].isin(names)), lambda a: a["name"])
-    return F.concat(title, F.lit(" "), F.array_join(listed, " "))
+    names_of = F.coalesce(F.array_join(listed, " "), F.lit(""))
+    return F.concat(F.coalesce(title, F.lit("")), F.lit(" "), names_of)

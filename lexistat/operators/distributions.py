@@ -143,14 +143,20 @@ def kernel_density(values: DataFrame, sort_limit: int = SORT_LIMIT) -> DataFrame
 
 
 def pair_correlation(df: DataFrame, inputs: list[str], output: str) -> DataFrame:
-    """Correlation of each input with the output, all in one aggregation; NULL for a constant."""
-    spread = F.stddev_samp(output)
-    row = df.agg(
-        *[
-            (F.covar_samp(c, output) / F.nullif(F.stddev_samp(c) * spread, F.lit(0.0))).alias(c)
-            for c in inputs
-        ]
-    )
+    """Correlation of each input with the output, all in one aggregation; NULL for a constant.
+
+    Each is taken over the rows that have both values; NaN counts as missing.
+    """
+
+    def present(name: str) -> Column:
+        return F.nanvl(F.col(name).cast("double"), F.lit(None))
+
+    def corr(name: str) -> Column:
+        x = F.when(present(output).isNotNull(), present(name))
+        y = F.when(present(name).isNotNull(), present(output))
+        return F.covar_samp(x, y) / F.nullif(F.stddev_samp(x) * F.stddev_samp(y), F.lit(0.0))
+
+    row = df.agg(*[corr(c).alias(c) for c in inputs])
     return row.unpivot([], inputs, "column", "corr")
 
 

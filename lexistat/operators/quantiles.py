@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import sys
 from dataclasses import dataclass
 from functools import reduce
 
@@ -49,13 +50,23 @@ def long_values(df: DataFrame, columns: list[str], pooled: str | None = None) ->
 
 
 def _part(value: Column, low: float, high: float) -> Column:
-    """Number of the equal part of [low, high] a value falls in; always tells both ends apart."""
-    width = (high - low) / BUCKETS
+    """Number of the equal part of [low, high] a value falls in; always tells both ends apart.
+
+    Infinite values have parts of their own, before and behind those of the finite ones.
+    """
+    least, most = max(low, -sys.float_info.max), min(high, sys.float_info.max)
+    width = most / BUCKETS - least / BUCKETS
     if width == 0.0:
-        return (value >= high).cast("bigint")
-    if math.isinf(width):
-        return (value > low / 2 + high / 2).cast("bigint")
-    return F.floor((value - low) / width).cast("bigint")
+        part = (value >= most).cast("bigint")
+    elif math.isinf(most - least):
+        part = F.floor(value / width - least / width).cast("bigint")
+    else:
+        part = F.floor((value - least) / width).cast("bigint")
+    return (
+        F.when(value == math.inf, F.lit(BUCKETS + 2))
+        .when(value == -math.inf, F.lit(-2))
+        .otherwise(part)
+    )
 
 
 def _narrow(values: DataFrame, wanted: list[_Open]) -> None:
@@ -80,6 +91,7 @@ def _narrow(values: DataFrame, wanted: list[_Open]) -> None:
         .collect()
     )
     for w in wanted:
+        before = (w.low, w.high, w.size)
         i, below = spans.index((w.column, w.low, w.high)), w.below
         for row in counted:
             if row["span"] != i:
@@ -88,6 +100,8 @@ def _narrow(values: DataFrame, wanted: list[_Open]) -> None:
                 w.low, w.high, w.below, w.size = row["low"], row["high"], below, row["n"]
                 break
             below += row["n"]
+        if (w.low, w.high, w.size) == before:
+            raise RuntimeError(f"the values of {w.column} around rank {w.rank} cannot be told apart")
 
 
 def order_statistics(
@@ -162,7 +176,8 @@ def quantiles_of(
     result = {}
     for (c, p), spot in spots.items():
         low, high = found[(c, math.floor(spot) + 1)], found[(c, math.ceil(spot) + 1)]
-        result[(c, p)] = low + (spot - math.floor(spot)) * (high - low)
+        # Equal neighbours need no step between them; infinite ones have none.
+        result[(c, p)] = low if low == high else low + (spot - math.floor(spot)) * (high - low)
     return result
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -83,6 +84,13 @@ class Fit:
         return value
 
 
+def complete_rows(df: DataFrame, terms: Iterable[Term], output: str) -> DataFrame:
+    """The rows that have the output and all inputs of the terms; NaN counts as missing."""
+    for name in sorted({t[0] for t in terms} | {output}):
+        df = df.where(F.nanvl(F.col(name).cast("double"), F.lit(None)).isNotNull())
+    return df
+
+
 def fit_models(
     df: DataFrame, models: dict[str, tuple[Term, ...]] = MODELS, output: str = "y"
 ) -> list[Fit]:
@@ -97,11 +105,7 @@ def fit_models(
     }
     pairs = sorted(tuple(sorted(p)) for p in needed)
     y = F.col(output).cast("double")
-    present = [F.col(c).isNotNull() for c in {t[0] for t in terms} | {output}]
-    complete = df
-    for condition in present:
-        complete = complete.where(condition)
-    row = complete.agg(
+    row = complete_rows(df, terms, output).agg(
         F.count("*"), F.avg(y), F.stddev_samp(y),
         *[F.avg(term_value(t)) for t in terms],
         *[F.stddev_samp(term_value(t)) for t in terms],
@@ -164,10 +168,15 @@ def theta_table(spark: SparkSession, fits: list[Fit]) -> DataFrame:
 def model_scores(df: DataFrame, fits: list[Fit], output: str = "y") -> DataFrame:
     """RSS, variance, log-likelihood, AIC and BIC of each model: one pass for all of them.
 
-    The parameter count ``k`` includes the intercept.
+    The parameter count ``k`` includes the intercept. The rows are those the models were fitted on:
+    complete in all of their terms. Models without coefficients have no row.
     """
     fitted = [f for f in fits if f.theta is not None]
-    sums = df.agg(
+    if not fitted:
+        return df.sparkSession.createDataFrame(
+            [], "model string, rss double, k int, n bigint, variance double, loglik double, aic double, bic double"
+        )
+    sums = complete_rows(df, [t for f in fits for t in f.terms], output).agg(
         *[F.sum(F.pow(F.col(output) - f.predicted(), F.lit(2.0))).alias(f.model) for f in fitted]
     )
     names = [f.model for f in fitted]
@@ -271,8 +280,8 @@ def qq_lines(
 
 
 def split_by_hash(df: DataFrame, key: str, share: float) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows: a map-only split fixed by an integer key."""
-    training = hash_unit(F.col(key)) < F.lit(share)
+    """Training and test rows: a map-only split fixed by an integer key; without a key to the test."""
+    training = F.coalesce(hash_unit(F.col(key)) < F.lit(share), F.lit(False))
     return df.where(training), df.where(~training)
 
 
@@ -286,7 +295,8 @@ def prediction_intervals(
     fit = fit_models(train, {"model": terms}, output)[0]
     if fit.theta is None:
         raise ValueError("the predictors are linearly dependent on the training rows")
-    rss = train.agg(F.sum(F.pow(F.col(output) - fit.predicted(), F.lit(2.0)))).first()[0]
+    complete = complete_rows(train, terms, output)
+    rss = complete.agg(F.sum(F.pow(F.col(output) - fit.predicted(), F.lit(2.0)))).first()[0]
     sigma2 = rss / (fit.n - fit.parameters)
     error = F.sqrt(F.lit(sigma2) * (1 + fit.leverage()))
     predicted = fit.predicted()

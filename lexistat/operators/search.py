@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexistat.functions.text import STOP_WORDS, clean_text, vector_terms
+from lexistat.operators.ordering import global_index
 from lexistat.operators.terms import cleaned, fit_idf, for_lookup, normalised, term_counts
 from lexistat.session import shuffle_parts, stage
 
 PAGE_SIZE = 30
 BROADCAST_PAGE = 10_000
-PUSHED_TERMS = 100
 
 
 def index_rows(clean: DataFrame, key: str) -> DataFrame:
@@ -104,7 +104,6 @@ def scores(index: DataFrame, terms: DataFrame, key: str = "doc_id") -> DataFrame
     asked = terms.select(
         "query_id", "term", F.col("n").alias("q_n"), F.col("w").alias("q_w")
     )
-    index = _with_terms(index, terms)
     product = F.coalesce(F.col("w") * F.col("q_w"), F.lit(0.0))
     listed = F.max((F.col("n") > 0) & (F.col("q_n") > 0))
     return (
@@ -116,14 +115,6 @@ def scores(index: DataFrame, terms: DataFrame, key: str = "doc_id") -> DataFrame
     )
 
 
-def _with_terms(index: DataFrame, terms: DataFrame) -> DataFrame:
-    """The rows of few query terms by a filter the scan of a stored index can skip files with."""
-    listed = terms.select("term").distinct().limit(PUSHED_TERMS + 1).collect()
-    if len(listed) > PUSHED_TERMS:
-        return index
-    return index.where(F.col("term").isin([row["term"] for row in listed]))
-
-
 def page_bounds(page: int, size: int) -> tuple[int, int]:
     if page < 1 or size < 1:
         raise ValueError("page and size start at 1")
@@ -135,11 +126,22 @@ def ranked_page(
 ) -> DataFrame:
     """One page per query, best score first, equal scores by id, with the rank.
 
-    Spark cuts every task to the last wanted rank before the shuffle (window group limit).
+    Up to the rank that Spark's window group limit serves, every task is cut to the last wanted rank
+    before the shuffle. A deeper page is found by one range sort over all queries, whose key
+    ends in the id, so that no query's candidates meet in one task; its offset is the number of
+    the candidates of the queries before. Only the page asked for decides on the route.
     """
     start, end = page_bounds(page, size)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
-    ranked = scored.withColumn("rank", F.row_number().over(best))
+    spark = scored.sparkSession
+    if end <= int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        best = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
+        ranked = scored.withColumn("rank", F.row_number().over(best))
+        return ranked.where((F.col("rank") <= end) & (F.col("rank") > start))
+    rows = stage(scored, "scored")
+    placed = global_index(rows, [F.col("query_id"), F.desc("score"), F.col(key)], "_place")
+    first = placed.groupBy("query_id").agg(F.min("_place").alias("_first"))
+    rank = (F.col("_place") - F.col("_first") + 1).cast("int")
+    ranked = placed.join(first, "query_id").withColumn("rank", rank).drop("_place", "_first")
     return ranked.where((F.col("rank") <= end) & (F.col("rank") > start))
 
 

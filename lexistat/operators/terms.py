@@ -12,7 +12,6 @@ from lexistat.operators.ordering import global_index
 from lexistat.session import few_splits, shuffle_parts, spread, stage
 
 BLOCK_DOCUMENTS = 4096
-BROADCAST_TERMS = 2_000_000
 
 
 def cleaned(
@@ -33,8 +32,10 @@ def cleaned(
     words = without_stop_words(tokens(F.col(text)), stop_words)
     each = docs.select(key, F.posexplode_outer(words).alias("place", "token"))
     word = F.struct("place", F.coalesce("lemma", "token").alias("word"))
+    # One lemma per token, the first in order, or a token listed twice would be counted twice.
+    known = lemmas.groupBy("token").agg(F.min("lemma").alias("lemma"))
     return (
-        each.join(lemmas.select("token", "lemma"), "token", "left")
+        each.join(known, "token", "left")
         .groupBy(key)
         .agg(F.sort_array(F.collect_list(word)).alias("words"))
         .select(key, F.array_join("words.word", " ").alias("clean"))
@@ -91,13 +92,12 @@ def fit_idf(docs: DataFrame, terms: Column, key: str = "doc_id") -> DataFrame:
 
 
 def for_lookup(idf: DataFrame) -> DataFrame:
-    """The fitted vocabulary, broadcast while it is counted to have at most BROADCAST_TERMS rows.
+    """The fitted vocabulary as the planner takes it.
 
-    Up to there the term rows stay with their documents. A larger vocabulary is left to the
-    planner: sort-merge, with skew splitting for terms that are in very many documents.
+    It is a written table of known size: broadcast under ``spark.sql.autoBroadcastJoinThreshold``, and
+    beyond that sorted and merged, with skew splitting for terms that are in very many documents.
     """
-    known = idf.select("term", "idf")
-    return F.broadcast(known) if idf.count() <= BROADCAST_TERMS else known
+    return idf.select("term", "idf")
 
 
 def normalised(counts: DataFrame, idf: DataFrame, key: str, how: str = "inner") -> DataFrame:

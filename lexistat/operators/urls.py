@@ -24,7 +24,31 @@ def blocked(url: Column, rules: list[str]) -> Column:
 
 
 def allowed(urls: DataFrame, rules: list[str], url: str = "url") -> DataFrame:
-    return urls.where(~blocked(F.col(url), rules))
+    """Rows whose URL no rule blocks; a row without a URL is not blocked."""
+    return urls.where(~F.coalesce(blocked(F.col(url), rules), F.lit(False)))
+
+
+def site(url: Column) -> Column:
+    """Scheme and host of a URL, the scope of a robots text."""
+    return F.regexp_extract(url, "^(https?://[^/?#]+)", 1)
+
+
+def rule_regex(rule: Column) -> Column:
+    """The pattern of a rule in a column, as ``rule_pattern`` makes it of a string."""
+    return F.concat(F.lit("\\Q"), F.replace(rule, F.lit("*"), F.lit("\\E.*\\Q")), F.lit("\\E"))
+
+
+def allowed_by_site(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
+    """Rows whose URL no rule of its own site blocks, for ``rules(site, rule)``.
+
+    Rules are joined on the site, so each is tested on the URLs of its site only, and rules of any
+    number of sites stay distributed. Rows without a URL are not blocked.
+    """
+    known = rules.where(F.trim("rule") != "").select(
+        F.col("site").alias("_site"), rule_regex(F.trim("rule")).alias("_pattern")
+    ).distinct()
+    hit = (site(F.col(url)) == F.col("_site")) & F.call_function("rlike", F.col(url), F.col("_pattern"))
+    return urls.join(known, hit, "left_anti")
 
 
 def extracted(pages: DataFrame, text: str, pattern: str, keys: list[str]) -> DataFrame:

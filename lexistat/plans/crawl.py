@@ -16,6 +16,8 @@ ORACLES: dict[str, str] = {}
 
 RULES = ["/*?*utm_source=", "/fr/*.html", "", "*cheap-pills*", "/en/1", "spam-farm.example"]
 URL_PATTERN = r"https?://[^\s\"'<>]+"
+# The same where URLs may follow each other without anything between.
+JOINED_URL_PATTERN = r"https?://(?:(?!https?://)[^\s\"'<>])+"
 PAGE_HREF = r'href="(/[^"]*)"'
 
 
@@ -200,6 +202,59 @@ SELECT url, page_id, place FROM r WHERE k = 1
 """
 
 
+def _joined_sitemap(spark: SparkSession, folder: str) -> DataFrame:
+    """URLs of a sitemap whose text has lost the space between them."""
+    site = urls.site(F.col("url"))
+    text = F.concat(site, F.lit("/sitemap/pages.xml"), site, F.lit("/sitemap/other.xml"))
+    joined = table(spark, folder, "pages").select("page_id", text.alias("text"))
+    return urls.extracted(joined, "text", JOINED_URL_PATTERN, ["page_id"])
+
+
+def sitemap_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return _joined_sitemap(spark, folder)
+
+
+QUERIES["sitemap_urls"] = sitemap_urls
+ORACLES["sitemap_urls"] = f"WITH {SITEMAP_SQL} SELECT page_id, place, url FROM listed"
+
+
+def target_url(spark: SparkSession, folder: str) -> DataFrame:
+    """From the sitemap to the organisations' URLs, with the suffix, as far as allowed: the first one."""
+    found = urls.entries(_joined_sitemap(spark, folder), "/sitemap", "pages")
+    suffixed = urls.with_suffix(urls.first_seen(found, ["page_id", "place"]), "/publications", RULES)
+    return urls.first_match(suffixed, "/sitemap", "/publications", ["page_id", "place"])
+
+
+QUERIES["target_url"] = target_url
+ORACLES["target_url"] = f"""
+WITH {SITEMAP_SQL}
+SELECT page_id, place, url || '/publications' AS url FROM listed
+WHERE contains(url, '/sitemap/pages') AND NOT contains(url, 'cheap-pills')
+  AND NOT contains(url, 'spam-farm.example')
+ORDER BY page_id, place LIMIT 1
+"""
+
+
+def site_url_allowed(spark: SparkSession, folder: str) -> DataFrame:
+    """The pages that the robots texts of their own sites allow."""
+    texts = robots_texts(spark, folder).select("site", html.robots_directives(F.col("text")).alias("d"))
+    rules = texts.select("site", F.explode("d.rules").alias("rule"))
+    return urls.allowed_by_site(table(spark, folder, "pages").select("page_id", "url"), rules)
+
+
+QUERIES["site_url_allowed"] = site_url_allowed
+ORACLES["site_url_allowed"] = r"""
+WITH site AS (SELECT page_id, url, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS site FROM pages),
+rules AS (SELECT DISTINCT site, regexp_replace(regexp_extract(url, '^https?://[^/]+(/.*)$', 1), '[?#].*$', '')
+                 || '*ref=' AS rule FROM site
+          UNION SELECT site, '/*?*page=' FROM site),
+patterns AS (SELECT site, array_to_string(list_transform(string_split(rule, '*'), lambda x: regexp_escape(x)), '.*')
+                    AS pattern FROM rules)
+SELECT page_id, url FROM site s
+WHERE NOT EXISTS (SELECT 1 FROM patterns p WHERE p.site = s.site AND regexp_matches(s.url, p.pattern))
+"""
+
+
 def suffixed_urls(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return urls.with_suffix(pages, "/publications", [*RULES, "html/publications"])

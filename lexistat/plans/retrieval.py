@@ -230,6 +230,27 @@ QUERIES["search_page2"] = search_page2
 ORACLES["search_page2"] = _page_sql(2)
 
 
+DEEP_SIZE = 600
+DEEP_QUERY = "th er an on in ti re es en ed or nd at ing ha der die le la de el que"
+
+
+def search_deep_page(spark: SparkSession, folder: str) -> DataFrame:
+    """A page whose last rank is 1,200: beyond what a window serves without gathering a query's hits."""
+    asked = table(spark, folder, "documents").select(F.lit(1).alias("query_id"), F.lit(DEEP_QUERY).alias("query"))
+    even = _scores(spark, folder, asked.limit(1)).withColumn("score", F.round("score", 12))
+    return search.ranked_page(even, 2, DEEP_SIZE).select(
+        "query_id", "doc_id", "rank", F.round("score", 6).alias("score")
+    )
+
+
+QUERIES["search_deep_page"] = search_deep_page
+ORACLES["search_deep_page"] = (
+    _page_sql(1)
+    .replace(ASKED_SQL, f"SELECT 1 AS query_id, '{DEEP_QUERY}' AS query")
+    .replace(f"rank > 0 AND rank <= {PAGE}", f"rank > {DEEP_SIZE} AND rank <= {2 * DEEP_SIZE}")
+)
+
+
 def page_totals(spark: SparkSession, folder: str) -> DataFrame:
     return search.page_totals(_scores(spark, folder), _asked(spark), 1, search.PAGE_SIZE)
 

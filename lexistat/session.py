@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # The planner gives sizes near the largest long to what it knows nothing about.
 UNKNOWN_SIZE = 1 << 60
+# A table of fewer full splits than this may be spread over the cores.
+FEW_SPLITS = 8
 # More partitions than this cost the driver more than they give the tasks.
 MOST_PARTS = 200_000
 
@@ -71,9 +73,14 @@ def full_splits(df: DataFrame) -> int | None:
 
 
 def few_splits(df: DataFrame) -> bool:
-    """True where a table is known to have fewer full splits than there are cores."""
+    """True where a table is known to be small and to have fewer full splits than there are cores.
+
+    Small is at most FEW_SPLITS full splits, whatever the cluster; a larger table is never
+    shuffled only to use more cores.
+    """
     splits = full_splits(df)
-    return splits is not None and splits < df.sparkSession.sparkContext.defaultParallelism
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return splits is not None and splits < min(cores, FEW_SPLITS)
 
 
 def shuffle_parts(df: DataFrame) -> int:

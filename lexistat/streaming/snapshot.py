@@ -18,10 +18,22 @@ def land_publications(
     In place of rewriting the whole snapshot after every record. ``progress`` keeps what has been
     read; with it a restarted run neither skips nor repeats a file.
     """
+    return _land(spark, pages, target, progress, 0)
+
+
+def land_rejected(spark: SparkSession, pages: str, target: str, progress: str) -> StreamingQuery:
+    """Append what ``land_publications`` leaves out, the records without any detail, to ``target``.
+
+    Hand in a ``progress`` of its own.
+    """
+    return _land(spark, pages, target, progress, 1)
+
+
+def _land(spark: SparkSession, pages: str, target: str, progress: str, part: int) -> StreamingQuery:
     landed = spark.readStream.schema(PAGES).parquet(pages)
-    accepted, _ = accepted_and_rejected(parse_publications(landed, "page_id"))
     return (
-        accepted.writeStream.format("parquet")
+        accepted_and_rejected(parse_publications(landed, "page_id"))[part]
+        .writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", progress)
         .outputMode("append")

@@ -27,7 +27,7 @@ BRACED = "@article{k, title = {{A} braced}, year = {2023}, month = {feb}, abstra
         (QUOTED, "year", "2024"),
         (QUOTED, "day", "3"),
         (QUOTED, "abstract", "line one\nline two"),
-        (BRACED, "title", "A} braced"),
+        (BRACED, "title", "{A} braced"),
         (BRACED, "year", "2023"),
         (BRACED, "day", None),
     ],
@@ -204,3 +204,54 @@ def test_records_without_details_are_rejected(spark):
 def test_older_author_string_fills_the_list(spark):
     df = spark.createDataFrame([("A and B", None)], "author string, authors array<struct<name:string,link:string>>")
     assert [a["name"] for a in records.with_author_list(df).first()["authors"]] == ["A", "B"]
+
+
+def test_bibtex_values_keep_their_braces_and_need_no_comma(spark):
+    bib = '@a{k, title = "On the {UK}, and more",\n abstract = {\n two {n{es}ted} lines\n}, year = "2024"\n}'
+    assert one(spark, bib, lambda c: bibtex.field(c, "title")) == "On the {UK}, and more"
+    assert one(spark, bib, lambda c: bibtex.field(c, "abstract")) == "two {n{es}ted} lines"
+    assert one(spark, bib, lambda c: bibtex.field(c, "year")) == "2024"
+    assert one(spark, "x = {{Whole Title}}", lambda c: bibtex.field(c, "x")) == "Whole Title"
+
+
+def test_marks_among_other_classes_and_any_quotes(spark):
+    page = (
+        "<h3 class='big title x'><a class=c href='/p'>T</a></h3>"
+        '<p class="persons wide relations"><a href=/ann>Ann</a>,\nBob</p>'
+        '<div id=1 class="rendering_researchoutput more">T\n<div>d</div>etail\nout</div>'
+        '<span class="x concept-badge-small-container">C<span>1</span>\n80%</span>'
+        '<h3 class="subtitle"><a href="/no">N</a></h3><a class="next step">7</a>'
+    )
+    rows = spark.createDataFrame([(1, page)], "page_id long, html string")
+    got = records.parse_publications(rows, "page_id").first()
+    assert got["link"] == "/p" and (got["detail"], got["output"]) == ("detail", "out")
+    assert [(a["name"], a["link"]) for a in got["authors"]] == [("Ann", "/ann"), ("Bob", None)]
+    assert got["concepts"] == ["C1\n80%"]
+    cards = records.result_cards(rows, ["page_id"]).collect()
+    assert [(c["name"], c["link"]) for c in cards] == [("T", "/p")]
+    assert one(spark, page, html.last_page) == 7
+
+
+def test_robots_lines_with_tabs_and_other_line_ends(spark):
+    text = "Disallow:\t/private\r\tdisallow: /x \nCrawl-delay:\t3"
+    got = one(spark, text, html.robots_directives)
+    assert got["rules"] == ["/private", "/x"] and got["crawl_delay"] == 3
+
+
+def test_rows_without_url_and_rules_of_other_sites_do_not_block(spark):
+    rows = [(None,), ("https://a/private/1",), ("https://b/private/1",)]
+    found = spark.createDataFrame(rows, "url string")
+    assert {r["url"] for r in urls.allowed(found, ["/private"]).collect()} == {None}
+    rules = spark.createDataFrame([("https://a", "/private*"), ("https://b", " ")], "site string, rule string")
+    assert {r["url"] for r in urls.allowed_by_site(found, rules).collect()} == {None, "https://b/private/1"}
+
+
+def test_search_text_without_title_or_authors(spark):
+    kind = "array<struct<name:string,link:string>>"
+    assert one(spark, None, lambda c: shaping.search_text(F.lit("T"), c, ["Ann"]), kind) == "T "
+    assert one(spark, [("Ann", None)], lambda c: shaping.search_text(F.lit(None), c, ["Ann"]), kind) == " Ann"
+
+
+def test_latex_marks_alone_and_in_braces(spark):
+    title = "\\textquotedblleft{}A{ \\textquoteright }s\\_b\\# {\\textquotedblright}"
+    assert one(spark, title, shaping.latex_title) == "\"A's_b# \""

@@ -223,3 +223,21 @@ def test_accuracy_and_confusion(spark):
     judged = spark.createDataFrame([(1, "a", "a"), (2, "a", "b"), (3, "b", "b")], "doc_id int, label string, predicted string")
     assert classify.accuracy(judged).first()["accuracy"] == pytest.approx(2 / 3)
     assert classify.confusion(judged).where("label = 'a' and predicted = 'b'").first()["count"] == 1
+
+
+def test_scores_are_taken_over_the_fitted_rows(signals):
+    from pyspark.sql import functions as F
+
+    whole = signals.withColumn("x1", F.when(F.col("doc_id") % 5 == 0, F.lit(None)).otherwise(F.col("x1")))
+    kept = signals.where("doc_id % 5 <> 0")
+    rows = [
+        {r["model"]: r["rss"] for r in regression.model_scores(t, regression.fit_models(t)).collect()}
+        for t in (whole, kept)
+    ]
+    assert rows[0] == pytest.approx(rows[1])
+
+
+def test_rows_without_a_key_are_not_lost(spark):
+    frame = spark.createDataFrame([(None,), (1,), (2,)], "k long")
+    parts = regression.split_by_hash(frame, "k", 0.5)
+    assert sum(p.count() for p in parts) == 3

@@ -26,7 +26,7 @@ def ordered(rows, columns):
     return sorted(repr(tuple(row[i] for i in order)) for row in rows)
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", ORACLES)
 def test_query_matches_sql(spark, sql, name):
     ours = QUERIES[name](spark, FOLDER)
     cursor = sql.execute(ORACLES[name])

@@ -119,7 +119,7 @@ def test_stored_index_gives_the_same_scores(spark, built, tmp_path):
     assert all(ours[k] == pytest.approx(theirs[k], abs=1e-12) for k in theirs)
 
 
-def test_sort_merge_route_gives_the_same_scores(spark, built, corpus, monkeypatch):
+def test_sort_merge_route_gives_the_same_scores(spark, built, corpus):
     asked = spark.createDataFrame(QUERIES, "query_id int, query string")
 
     def rows(index, idf):
@@ -127,7 +127,6 @@ def test_sort_merge_route_gives_the_same_scores(spark, built, corpus, monkeypatc
         return {(r["query_id"], r["doc_id"]): round(r["score"], 12) for r in found}
 
     wanted = rows(*built)
-    monkeypatch.setattr(terms, "BROADCAST_TERMS", 0)
     names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     try:
         for name in names:
@@ -177,3 +176,21 @@ def test_vocabulary_is_ranked_alphabetically(spark, corpus):
 
 def test_shared_folder_is_named_by_the_session(spark):
     assert shared_folder(spark)
+
+
+def test_deep_pages_equal_a_full_ranking(spark):
+    scored = spark.range(3000).select(
+        (F.col("id") % 2).alias("query_id"), F.col("id").alias("doc_id"), (F.col("id") % 7).alias("score")
+    )
+    for page, size in ((1, 40), (2, 600), (3, 500)):
+        got = {(r["query_id"], r["rank"]): r["doc_id"] for r in search.ranked_page(scored, page, size).collect()}
+        for query in (0, 1):
+            order = sorted((i for i in range(3000) if i % 2 == query), key=lambda i: (-(i % 7), i))
+            wanted = {(query, k + 1): i for k, i in enumerate(order) if (page - 1) * size <= k < page * size}
+            assert {k: v for k, v in got.items() if k[0] == query} == wanted
+
+
+def test_a_token_with_two_lemmas_counts_once(spark):
+    docs = spark.createDataFrame([(1, "mice run")], "doc_id long, text string")
+    lemmas = spark.createDataFrame([("mice", "mouse"), ("mice", "mice")], "token string, lemma string")
+    assert terms.cleaned(docs, lemmas=lemmas).first()["clean"] == "mice run"

@@ -125,3 +125,18 @@ def test_global_index_has_no_gap_under_a_hot_key(spark):
     wanted = sorted((r["k"], r["id"]) for r in placed)
     assert [(r["k"], r["id"]) for r in sorted(placed, key=lambda r: r["idx"])] == wanted
     assert sorted(r["idx"] for r in placed) == list(range(1, 3001))
+
+
+def test_quantiles_end_with_infinite_values(spark):
+    values = [float("inf")] * 30 + [float("-inf")] * 30 + [1.7e308, -1.7e308] + [float(i) for i in range(40)]
+    frame = spark.createDataFrame([(v,) for v in values], "x double")
+    got = quantiles.exact_quantiles(frame, ["x"], [0.0, 0.5, 1.0], sort_limit=5)
+    assert got[("x", 0.0)] == float("-inf") and got[("x", 1.0)] == float("inf")
+    assert got[("x", 0.5)] == sorted(values)[50] / 2 + sorted(values)[51] / 2
+
+
+def test_correlation_over_complete_pairs(spark):
+    rows = [(1.0, 2.0), (2.0, 4.1), (3.0, 5.9), (None, 100.0), (900.0, None), (float("nan"), 7.0)]
+    frame = spark.createDataFrame(rows, "x double, y double")
+    got = distributions.pair_correlation(frame, ["x"], "y").first()["corr"]
+    assert got == pytest.approx(np.corrcoef([1, 2, 3], [2, 4.1, 5.9])[0, 1])
