@@ -135,9 +135,13 @@ def later_copies(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
         "windows",
     )
     place = F.struct(*KEY, "first")
-    intervals = named.groupBy("size", "a", "b").agg(
-        F.min(place).alias("earliest"), F.count(F.lit(1)).alias("_n")
-    ).filter("_n > 1").drop("_n")
+    # Written before it is joined: a join of two plain tables can split a window found everywhere.
+    intervals = stage(
+        named.groupBy("size", "a", "b").agg(
+            F.min(place).alias("earliest"), F.count(F.lit(1)).alias("_n")
+        ).filter("_n > 1").drop("_n"),
+        "intervals",
+    )
     return named.join(intervals, ["size", "a", "b"]).filter(place != F.col("earliest")).select(*KEY, "first", "size")
 
 
