@@ -7,6 +7,7 @@ from lexistat.plans import (
     publications,
     retrieval,
     statistics,
+    storage,
 )
 
-GROUPS = (retrieval, crawl, publications, statistics, modelling, classification)
+GROUPS = (retrieval, crawl, publications, statistics, modelling, classification, storage)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The fields of a record.
 PUBLICATION = (
     "id bigint, title string, authors array<struct<name:string,link:string>>, author string, "
     "year string, month string, day string, abstract string, detail string, output string, "
@@ -28,9 +29,14 @@ def write_publications(records: DataFrame, path: str, format: str = "parquet") -
 
 
 def write_postings(postings: DataFrame, path: str, format: str = "json") -> None:
-    """The inverted index as ``{term, block, postings}`` rows, one folder per first character."""
+    """The inverted index as ``{term, block, postings}`` rows, one folder per first character.
+
+    Lists are ranged by term and block before they are written, so a task writes to few folders, and
+    a frequent first character is shared by several tasks.
+    """
     first = F.substring("term", 1, 1)
-    postings.withColumn("initial", first).write.mode("overwrite").partitionBy("initial").format(
+    ranged = postings.withColumn("initial", first).repartitionByRange("initial", "term", "block")
+    ranged.write.mode("overwrite").partitionBy("initial").format(
         format
     ).save(path)
 
