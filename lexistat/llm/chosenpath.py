@@ -355,3 +355,39 @@ def one_of_each(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> D
     gone = linked(docs, size, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
     rows = docs.select(row_of(docs), F.col("doc_id").cast("long").alias("_id"))
     return rows.join(gone, F.col("_id") == F.col("_gone"), "left_anti").select("_row.*")
+
+
+# The links of op2's query from all pairs that share a shingle.
+SQL = r"""
+WITH RECURSIVE cut AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingle AS (
+    SELECT DISTINCT doc_id, s FROM (
+        SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
+                                   WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                                   ELSE list_transform(range(1, len(w) - 1),
+                                        lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+        FROM cut)
+), size AS (
+    SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), met AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+    FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), link AS (
+    SELECT x, y FROM met JOIN size a ON a.doc_id = x JOIN size b ON b.doc_id = y
+    WHERE 100 * shared >= 85 * (a.n + b.n - shared)
+), edge AS (
+    SELECT x, y FROM link UNION ALL SELECT y, x FROM link
+), reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT r.doc_id, e.y FROM reached r JOIN edge e ON e.x = r.other
+), component AS (
+    SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM component LEFT JOIN size USING (doc_id)
+"""

@@ -211,3 +211,50 @@ def without_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFram
         length = F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("row.n_chars"))
         columns[place["n_chars"]] = length.alias("n_chars")
     return done.select(columns)
+
+
+# What op10's query gives, from the texts of all windows.
+SQL = rf"""
+WITH raw AS (
+    SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents
+), trimmed AS (
+    SELECT *, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS bare FROM raw
+), worded AS (
+    SELECT doc_id, pos, bare, len(regexp_extract_all(bare, '[^\x20\x09-\x0D]+')) AS words,
+           row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS place
+    FROM trimmed WHERE bare <> ''
+), summed AS (
+    SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY place) AS fin FROM worded
+), whole AS (
+    SELECT doc_id, list(bare ORDER BY place) AS held FROM worded GROUP BY doc_id
+), sizes AS (
+    SELECT doc_id, place AS first, count(*) OVER ahead AS size, sum(words) OVER ahead AS held_words FROM summed
+    WINDOW ahead AS (PARTITION BY doc_id ORDER BY fin - words RANGE BETWEEN CURRENT ROW AND {LEAST_WORDS - 1} FOLLOWING)
+    UNION
+    SELECT doc_id, place + 1 - count(*) OVER behind, count(*) OVER behind, sum(words) OVER behind FROM summed
+    WINDOW behind AS (PARTITION BY doc_id ORDER BY fin RANGE BETWEEN {LEAST_WORDS - 1} PRECEDING AND CURRENT ROW)
+), windows AS (
+    SELECT doc_id, first, size, held[first + 1 : first + size] AS content
+    FROM sizes JOIN whole USING (doc_id) WHERE held_words >= {LEAST_WORDS}
+), later AS (
+    SELECT doc_id, first, size FROM (
+        SELECT *, row_number() OVER (PARTITION BY content ORDER BY doc_id, first) AS turn FROM windows)
+    WHERE turn > 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(first, first + size)) AS place FROM later
+), marked AS (
+    SELECT t.doc_id, t.line, t.pos, w.place IS NOT NULL AS has_words,
+           CASE WHEN w.place IS NOT NULL THEN g.place IS NOT NULL END AS drop
+    FROM trimmed t LEFT JOIN worded w USING (doc_id, pos) LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.place = w.place
+), carried AS (
+    SELECT *, coalesce(last_value(drop IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos), false) AS dropping FROM marked
+), kept AS (
+    SELECT doc_id, count(*) FILTER (has_words) AS n_lines, count(*) FILTER (drop) AS n_removed,
+           coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropping), '') AS text
+    FROM carried GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       CASE WHEN n_removed > 0 THEN k.text ELSE d.text END AS text
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""

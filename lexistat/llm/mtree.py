@@ -222,3 +222,19 @@ def search(table: DataFrame, is_query: Column, k: int = 5, tree_rows: int = TREE
 
     found = pairs.select("data", "asked").mapInArrow(look, "query_id long, score long, vec_id long")
     return vectors.best(found, k)
+
+
+# The scores of op3's query over all candidates.
+SQL = f"""
+WITH fine AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor({GRID} * x::DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM fine q JOIN fine c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""

@@ -71,4 +71,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
-ORACLES: dict[str, str] = {"op1_license_scan": licenses.SQL, "op8_source_mix": mixing.SQL}
+ORACLES: dict[str, str] = {
+    "op1_license_scan": licenses.SQL,
+    "op2_near_duplicates": chosenpath.SQL,
+    "op3_inner_product_topk": mtree.SQL,
+    "op8_source_mix": mixing.SQL,
+    "op10_line_dedup": linededup.SQL,
+}
