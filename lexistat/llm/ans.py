@@ -30,6 +30,7 @@ LANES = 512
 BLOCK = 1 << 18
 STRIDE = 1 << 17
 SEGMENT = 1 << 22
+MOST_IDS = 1 << 24
 
 _LOW = np.uint64(1 << 31)
 _WORD = np.uint64(32)
@@ -55,7 +56,11 @@ class Table:
     @classmethod
     def fitted(cls, tokens: np.ndarray) -> Table:
         """Every symbol gets one part of 2**SCALE and its share of the rest; the commonest what is left."""
-        symbols, counts = np.unique(tokens, return_counts=True)
+        if tokens.max() >= MOST_IDS:
+            raise ValueError(f"token ids stay below {MOST_IDS}")
+        counts = np.bincount(tokens)
+        symbols = np.flatnonzero(counts)
+        counts = counts[symbols]
         spare = (1 << SCALE) - len(symbols)
         if spare < 0:
             raise ValueError(f"more than 2**{SCALE} distinct tokens in a segment")
@@ -73,13 +78,19 @@ class Table:
         half = len(numbers) // 2
         return cls.of(np.cumsum(numbers[:half], dtype=np.uint32), numbers[half:])
 
+    def places(self, tokens: np.ndarray) -> np.ndarray:
+        """The place among ``symbols`` of every token."""
+        place = np.zeros(int(self.symbols[-1]) + 1, dtype=np.int32)
+        place[self.symbols] = np.arange(len(self.symbols), dtype=np.int32)
+        return place[tokens]
+
     def slots(self) -> np.ndarray:
         """The place among ``symbols`` of every slot."""
         return np.repeat(np.arange(len(self.symbols), dtype=np.uint32), self.frequencies.astype(np.int64))
 
 
 def encode_block(tokens: np.ndarray, table: Table) -> bytes:
-    places = np.searchsorted(table.symbols, tokens)
+    places = table.places(tokens)
     frequency, before = table.frequencies[places], table.before[places]
     states = np.full(LANES, _LOW, dtype=np.uint64)
     steps = -(-len(tokens) // LANES)

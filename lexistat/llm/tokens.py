@@ -48,11 +48,24 @@ def _pieces_without_space(text: str) -> list[str]:
     return _bare_pieces(text.encode("utf-8", "replace").lower().decode())
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in the vocabularies: itself where it is printable, and the
+    next one from 256 on where not."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
+
+
+_letters = _byte_letters()
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str, keeps_space: bool) -> None:
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
+        self.keeps_space = keeps_space
         self.pieces = _pieces_with_space if keeps_space else _pieces_without_space
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -69,7 +82,15 @@ class Encoder:
         young, old = self.young, self.old
         carried = missing & old.keys()
         young.update({piece: old[piece] for piece in carried})
-        fresh = list(missing - carried)
+        fresh = []
+        for piece in missing - carried:
+            # A word of letters alone is one token to be: nothing is left to be composed, lowered or cut.
+            word = piece[1:] if self.keeps_space and piece[0] == " " else piece
+            if word.isalpha() and (self.keeps_space or word == word.lower()):
+                letters = piece.encode().decode("latin-1").translate(_letters)
+                young[piece] = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            else:
+                fresh.append(piece)
         for at in range(0, len(fresh), 4096):
             some = fresh[at : at + 4096]
             young.update(zip(some, self._library_ids(some), strict=True))
