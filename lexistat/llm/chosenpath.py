@@ -41,7 +41,7 @@ MARGIN = 0.22  # five standard errors of a similarity estimated from a signature
 BLOCK_DOCS = 16_384
 BLOCK_SHINGLES = 8_000_000
 SEED = 5
-_KEPT_WORDS = 400_000
+_KEPT_WORDS = 200_000
 
 _odd = np.random.default_rng(SEED).integers(1, 1 << 63, 8 + TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _words: dict[bytes, int] = {}

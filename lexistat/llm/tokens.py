@@ -23,7 +23,7 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END = 2
 
-KEPT_PIECES = 400_000  # in each of two generations
+KEPT_PIECES = 250_000  # in each of two generations
 LONG_TEXT = 1 << 20  # characters cut at once
 BATCH_CHARS = 1 << 20
 
