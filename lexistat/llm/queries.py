@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexistat.llm import adscan, binary, chosenpath, licenses, linededup, mixing, mtree, packing, quality, toxicity
+from lexistat.llm import (
+    adscan,
+    alignment,
+    binary,
+    chosenpath,
+    importance,
+    licenses,
+    linededup,
+    mixing,
+    mtree,
+    packing,
+    quality,
+    tokencounts,
+    toxicity,
+)
 from lexistat.session import shared_folder
 from lexistat.sources.tables import table
 
@@ -59,6 +73,20 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("row.doc_id", "n_lines", "n_removed", "text")
 
 
+def op11_cross_tokenizer(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.cross_tokenizer(table(spark, folder, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every call begins with an empty cache, so that it counts the whole table."""
+    cache = f"{shared_folder(spark)}/token-counts/{uuid.uuid4().hex}"
+    return tokencounts.count_tokens(table(spark, folder, "documents"), cache)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_near_duplicates": op2_near_duplicates,
@@ -70,6 +98,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op11_cross_tokenizer": op11_cross_tokenizer,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_token_counts": op13_token_counts,
 }
 ORACLES: dict[str, str] = {
     "op1_license_scan": licenses.SQL,
