@@ -5,33 +5,44 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from html.entities import name2codepoint
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _mark(tag: str, *classes: str) -> str:
-    """Opening tag that has the classes among its own, in any order and either quotes."""
-    have = "".join(
-        rf"""(?=[^>]*\bclass\s*=\s*(?:"(?:[^">]*\s)?{c}(?:\s[^">]*)?"|'(?:[^'>]*\s)?{c}(?:\s[^'>]*)?'|{c}[\s>]))"""
-        for c in classes
-    )
-    return rf"<{tag}\b{have}[^>]*>"
+_HREF = r"""\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+ANCHOR = rf"(?s)<a\b[^>]*?{_HREF}[^>]*>(.*?)</a>"
+TITLE = r"(?is)<title\b[^>]*>(.*?)</title>"
 
 
-# What a tag holds up to its own end, other tags of its kind inside included.
-_NESTED = r"(?:[^<]++|<(?!/?{tag}\b)|<{tag}\b[^>]*+>(?:[^<]++|<(?!/?{tag}\b)|<{tag}\b[^>]*+>(?:[^<]++|<(?!/?{tag}\b))*+</{tag}>)*+</{tag}>)*+"
-_HREF = r"""\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+class Mark(NamedTuple):
+    """An element by its tag and classes it has among its own."""
+
+    tag: str
+    classes: tuple[str, ...]
+
 
 # The marks of the portal pages that are read.
-ANCHOR = rf"(?s)<a\b[^>]*?{_HREF}[^>]*>(.*?)</a>"
-CARD_TITLE = rf"(?s){_mark('h3', 'title')}\s*<a\b[^>]*?{_HREF}[^>]*>(.*?)</a>"
-STEP = rf"(?s){_mark('a', 'step')}(.*?)</a>"
-BADGE = rf"(?s){_mark('span', 'concept-badge-small-container')}({_NESTED.format(tag='span')})</span>"
-PERSONS = rf"(?s){_mark('p', 'relations', 'persons')}(.*?)</p>"
-RENDERED = rf"(?s){_mark('div', 'rendering_researchoutput')}({_NESTED.format(tag='div')})</div>"
-BIBTEX = rf"(?s){_mark('pre', 'rendering_researchoutput_bibtex')}(.*?)</pre>"
-TITLE = r"(?is)<title\b[^>]*>(.*?)</title>"
+CARD_TITLE = Mark("h3", ("title",))
+STEP = Mark("a", ("step",))
+BADGE = Mark("span", ("concept-badge-small-container",))
+PERSONS = Mark("p", ("relations", "persons"))
+RENDERED = Mark("div", ("rendering_researchoutput",))
+BIBTEX = Mark("pre", ("rendering_researchoutput_bibtex",))
+
+# Elements that hold nothing and have no end.
+VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+# Elements that end where the next of their kind begins.
+SIBLINGS = ("dd", "dt", "li", "option", "p", "td", "th", "tr")
+
+# Comments, scripts and styles whole, tags, and the text between them.
+_TOKEN = (
+    r"(?is)<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)\s*>|</?[a-z][^>]*+>"
+    r"|(?:[^<]++|<(?!/?[a-z]|!--))++"
+)
+_STACK = "array<struct<tag:string,mark:int,begin:int>>"
+_FOUND = "array<struct<begin:int,mark:int,size:int>>"
 
 AMPERSANDS = ("amp", "AMP", "#38", "#x26")
 
@@ -124,9 +135,102 @@ def links(html: Column, pattern: str = ANCHOR) -> Column:
     )
 
 
+def _has(tag: Column, mark: Mark) -> Column:
+    """True where an opening tag is of the mark's kind and has all its classes, in any order and quotes."""
+    value = r"""(?is)\sclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+    listed = F.concat(*[F.regexp_extract(tag, value, group) for group in (1, 2, 3)])
+    own = F.split(listed, r"\s+")
+    return F.array_size(F.array_except(F.array(*map(F.lit, mark.classes)), own)) == 0
+
+
+def marked(html: Column, marks: tuple[Mark, ...]) -> Column:
+    """What the elements of the given marks hold, as ``array<struct<begin, mark, text>>`` in page order.
+
+    The page is a sequence of tags and text, read once with the stack of the elements that are open. An
+    end tag ends the latest open element of its kind and with it all that are open inside; one
+    without such an element is ignored. So blocks may be nested to any depth and inner tags may lack their
+    end. What is still open at the end of the page goes up to there. ``mark`` is a place in ``marks``.
+    """
+    # Tags that no mark names matter only for what they end: all are kept on the stack but the void ones.
+    state = ("at", "stack", "found")
+
+    def put(at: Column, stack: Column, found: Column) -> Column:
+        return F.struct(*[c.alias(n) for n, c in zip(state, (at, stack, found), strict=True)])
+
+    def closed(found: Column, ended: Column, end: Column) -> Column:
+        kept = F.filter(ended, lambda e: e["mark"] >= 0)
+        return F.concat(found, F.transform(kept, lambda e: F.struct(
+            e["begin"].alias("begin"), e["mark"].alias("mark"), (end - e["begin"]).cast("int").alias("size"),
+        )))
+
+    def from_latest(stack: Column, tag: Column, body: Callable[[Column], Column], otherwise: Column) -> Column:
+        """``body`` of how many elements are below the latest open one of a tag."""
+        place = F.array_position(F.reverse(F.transform(stack, lambda e: e["tag"])), tag)
+        return F.when(place > 0, body(F.size(stack) - place)).otherwise(otherwise)
+
+    def step(s: Column, token: Column) -> Column:
+        at, stack, found = s["at"], s["stack"], s["found"]
+        end = (at + F.length(token)).cast("int")
+        tag = F.lower(F.regexp_extract(token, r"^</?([A-Za-z][^\s/>]*)", 1))
+        none = F.lit(-1)
+        mark = none
+        for place, wanted in reversed([*enumerate(marks)]):
+            mark = F.when((tag == wanted.tag) & _has(token, wanted), F.lit(place)).otherwise(mark)
+        opened = F.array(F.struct(tag.alias("tag"), mark.alias("mark"), end.alias("begin")))
+        top = F.get(stack, F.size(stack) - 1)
+        next_of_kind = tag.isin(*SIBLINGS) & F.coalesce(top["tag"] == tag, F.lit(False))
+        below = F.slice(stack, F.lit(1), F.greatest(F.size(stack) - 1, F.lit(0)))
+        opening = F.when(
+            next_of_kind, put(end, F.concat(below, opened), closed(found, F.array(top), at))
+        ).otherwise(put(end, F.concat(stack, opened), found))
+        closing = from_latest(
+            stack, tag,
+            lambda n: put(
+                end, F.slice(stack, F.lit(1), n.cast("int")),
+                closed(found, F.slice(stack, (n + 1).cast("int"), F.size(stack)), at),
+            ),
+            put(end, stack, found),
+        )
+        is_tag = token.rlike("^</?[A-Za-z]") & ~token.rlike("(?is)^<(?:script|style)\\b")
+        empty = tag.isin(*VOID) | token.endswith("/>")
+        return (
+            F.when(~is_tag, put(end, stack, found))
+            .when(token.startswith("</"), closing)
+            .when(empty, put(end, stack, found))
+            .otherwise(opening)
+        )
+
+    def read(page: Column) -> Column:
+        begun = put(F.lit(0), F.array().cast(_STACK), F.array().cast(_FOUND))
+        found = F.aggregate(
+            F.regexp_extract_all(page, F.lit(_TOKEN), F.lit(0)), begun, step,
+            lambda s: F.sort_array(closed(s["found"], s["stack"], s["at"])),
+        )
+        return F.transform(found, lambda f: F.struct(
+            f["begin"].alias("begin"), f["mark"].alias("mark"),
+            F.substring(page, f["begin"] + 1, f["size"]).alias("text"),
+        ))
+
+    return bound(html, read)
+
+
+def inner(found: Column, mark: int) -> Column:
+    """What all elements of one mark hold, in page order."""
+    return F.transform(F.filter(found, lambda f: f["mark"] == mark), lambda f: f["text"])
+
+
+def elements(html: Column, mark: Mark) -> Column:
+    return inner(marked(html, (mark,)), 0)
+
+
+def first_element(html: Column, mark: Mark) -> Column:
+    """What the first element of a mark holds; NULL if there is none or it is empty."""
+    return F.nullif(F.get(elements(html, mark), F.lit(0)), F.lit(""))
+
+
 def last_page(html: Column, default: int = 0) -> Column:
     """Number on the last pagination step, ``default`` where there is none or no number."""
-    last = F.try_element_at(all_groups(html, STEP), F.lit(-1))
+    last = F.try_element_at(elements(html, STEP), F.lit(-1))
     return F.coalesce(stripped(without_tags(last)).try_cast("int"), F.lit(default))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexistat.functions import bibtex, html, shaping
@@ -11,7 +11,8 @@ from lexistat.sources.publications import ACCEPTED_FIELDS
 
 def result_cards(pages: DataFrame, keys: list[str], text: str = "html") -> DataFrame:
     """``(keys, place, name, link)``: title text and link of each result on a listing page."""
-    cards = html.links(F.col(text), html.CARD_TITLE)
+    titles = F.transform(html.elements(F.col(text), html.CARD_TITLE), lambda t: F.get(html.links(t), F.lit(0)))
+    cards = F.filter(titles, lambda card: card.isNotNull())
     return pages.select(*keys, F.posexplode(cards).alias("place", "card")).select(
         *keys, "place", "card.name", "card.link"
     )
@@ -19,27 +20,38 @@ def result_cards(pages: DataFrame, keys: list[str], text: str = "html") -> DataF
 
 def parse_publications(pages: DataFrame, key: str, text: str = "html") -> DataFrame:
     """One record per publication page, in the publication schema; what is missing is NULL."""
-    page = F.col(text)
-    persons = html.first_group(page, html.PERSONS)
-    rendered = html.first_group(page, html.RENDERED)
-    bib = html.unescape(html.without_tags(html.first_group(page, html.BIBTEX)))
-    read = pages.select(
-        F.col(key).alias("id"),
-        html.plain_text(persons).alias("names"),
-        html.links(persons).alias("anchors"),
-        bib.alias("bib"),
-        html.detail_and_output(html.plain_text(rendered)).alias("lines"),
-        F.get(html.links(page, html.CARD_TITLE), F.lit(0))["link"].alias("link"),
-        F.transform(html.all_groups(page, html.BADGE), html.plain_text).alias("concepts"),
+    # Every page is read once for all its marks, and its BibTeX once for all fields.
+    marks = (html.PERSONS, html.RENDERED, html.BIBTEX, html.CARD_TITLE, html.BADGE)
+    found = pages.select(F.col(key).alias("id"), html.marked(F.col(text), marks).alias("found"))
+
+    def first(mark: int) -> Column:
+        return F.nullif(F.get(html.inner(F.col("found"), mark), F.lit(0)), F.lit(""))
+
+    parts = found.select(
+        "id",
+        first(0).alias("persons"),
+        first(1).alias("rendered"),
+        first(2).alias("bibtex"),
+        first(3).alias("card"),
+        html.inner(F.col("found"), 4).alias("badges"),
+    )
+    read = parts.select(
+        "id",
+        html.plain_text(F.col("persons")).alias("names"),
+        html.links(F.col("persons")).alias("anchors"),
+        bibtex.fields(html.unescape(html.without_tags(F.col("bibtex")))).alias("fields"),
+        html.detail_and_output(html.plain_text(F.col("rendered"))).alias("lines"),
+        F.get(html.links(F.col("card")), F.lit(0))["link"].alias("link"),
+        F.transform("badges", html.plain_text).alias("concepts"),
     )
-    field = {name: bibtex.field(F.col("bib"), name) for name in bibtex.FIELDS}
+    field = {name: bibtex.value_of(F.col("fields"), name) for name in (*bibtex.FIELDS, "author")}
     return read.select(
         "id",
         field["title"].alias("title"),
         html.authors_from_text(F.col("names"), F.col("anchors")).alias("authors"),
-        bibtex.field(F.col("bib"), "author").alias("author"),
+        field["author"].alias("author"),
         field["year"].alias("year"),
-        bibtex.month(F.col("bib")).alias("month"),
+        field["month"].alias("month"),
         field["day"].alias("day"),
         field["abstract"].alias("abstract"),
         F.col("lines.detail").alias("detail"),

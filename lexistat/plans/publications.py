@@ -51,21 +51,23 @@ WITH {sql.PUBLICATIONS} SELECT id, title, year, month, day, abstract FROM pub
 
 
 def bibtex_quoted(spark: SparkSession, folder: str) -> DataFrame:
-    bib = html.unescape(html.first_group(F.col("html"), html.BIBTEX))
-    read = _portal(spark, folder).select("page_id", bib.alias("bib"))
+    """Fields in quotes and the bare month, as they stand: entries in braces have only the latter."""
+    bib = html.unescape(html.first_element(F.col("html"), html.BIBTEX))
+    read = _portal(spark, folder).select("page_id", bibtex.fields(bib).alias("fields"))
+    fields = F.col("fields")
     return read.select(
         "page_id",
-        *[bibtex.quoted_field(F.col("bib"), f).alias(f) for f in ("title", "year", "day", "abstract")],
-        bibtex.bare_month(F.col("bib")).alias("month"),
+        *[bibtex.value_of(fields, f, bibtex.QUOTED, "raw").alias(f) for f in ("title", "year", "day", "abstract")],
+        bibtex.value_of(fields, "month", bibtex.BARE).alias("month"),
     )
 
 
 QUERIES["bibtex_quoted"] = bibtex_quoted
 ORACLES["bibtex_quoted"] = f"""
 WITH {sql.PUBLICATIONS}
-SELECT page_id, {', '.join(f'''nullif(regexp_extract(bib, '{chr(92)}b{f}{chr(92)}s*={chr(92)}s*"([^"]+)"', 1), '') AS {f}'''
+SELECT page_id, {', '.join(f"""nullif(regexp_extract(bib, '(?s),{chr(92)}s*{f}{chr(92)}s*={chr(92)}s*"(.*?)"{chr(92)}s*,', 1), '') AS {f}"""
                            for f in ('title', 'year', 'day', 'abstract'))},
-       nullif(regexp_extract(bib, '\\bmonth\\s*=\\s*([^"]+),', 1), '') AS month
+       nullif(regexp_extract(bib, ',\\s*month\\s*=\\s*([a-z]+)\\s*,', 1), '') AS month
 FROM cut
 """
 
@@ -80,7 +82,7 @@ ORACLES["author_links"] = f"WITH {sql.PUBLICATIONS}, {_exploded_sql('pub')}"
 
 def author_anchors(spark: SparkSession, folder: str) -> DataFrame:
     """Authors by their anchors alone: names without a link are left out."""
-    people = html.links(html.first_group(F.col("html"), html.PERSONS))
+    people = html.links(html.first_element(F.col("html"), html.PERSONS))
     return _portal(spark, folder).select(
         F.col("page_id").alias("id"), F.posexplode(people).alias("place", "a")
     ).select("id", "place", "a.name", "a.link")

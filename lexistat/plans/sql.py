@@ -138,8 +138,10 @@ portal AS (
 
 
 def bib_field(name: str, bib: str = "bib") -> str:
-    value = f"trim(regexp_extract({bib}, '(?s)\\b{name}\\s*=\\s*[\"{{](.*?)[\"}}],', 1))"
-    return f"nullif(regexp_replace({value}, '^[{{}}]+|[{{}}]+$', '', 'g'), '')"
+    """A quoted value ends at a quote before a comma, one in braces at a brace before a comma and a line end."""
+    pattern = f'(?s),\\s*{name}\\s*=\\s*(?:"(.*?)"\\s*,|\\{{(.*?)\\}},\n)'
+    found = f"regexp_extract({bib}, '{pattern}', 1) || regexp_extract({bib}, '{pattern}', 2)"
+    return f"nullif(regexp_replace({found}, '^\\s+|\\s+$', '', 'g'), '')"
 
 
 # Parsed entries: pub(id, title, authors, author, year, month, day, abstract, detail, output, link,

@@ -47,6 +47,118 @@ def test_quoted_field_does_not_take_a_longer_name(spark):
     assert one(spark, QUOTED, lambda c: bibtex.quoted_field(c, "title")) == "A {B} title"
 
 
+DEEP = "{a {b {c {d {e {f} g} h} i} j} k}"
+
+
+SCANNED = [
+    # A quote inside a value, followed by no comma.
+    ('@a{k, abstract = "he said "yes" and left",\n year = "2020"}', "abstract", 'he said "yes" and left'),
+    ('@a{k, abstract = "he said "yes" and left",\n year = "2020"}', "year", "2020"),
+    # A field head inside another value, in quotes and in braces.
+    ('@a{k, abstract = "see title = "Wrong" there",\n title = {Right}}', "title", "Right"),
+    ('@a{k, abstract = {see, title = "Wrong", year = {1}}, title = "Right"}', "title", "Right"),
+    ('@a{k, title = {Right}, abstract = "title = "Wrong""}', "title", "Right"),
+    # Any depth.
+    (f"@a{{k, title = {{x {DEEP} y}}, year = 2001}}", "title", f"x {DEEP} y"),
+    (f'@a{{k, title = "x {DEEP} y", year = 2001}}', "title", f"x {DEEP} y"),
+    (f"@a{{k, title = {DEEP}, year = 2001}}", "year", "2001"),
+    # The last field needs no comma, the entry no braces of its own.
+    ('@a{k, year = "1999", title = "Last"}', "title", "Last"),
+    ('@a{k, year = "1999", title = {Last}\n}', "title", "Last"),
+    ("@a{k, year = 1999, month = jan}", "month", "jan"),
+    ('title = "Bare", year = 7', "title", "Bare"),
+    ('title = "Bare", year = 7', "year", "7"),
+    # Quotes in braces and braces in quotes, with commas behind them.
+    ('@a{k, title = {A "b", c}, year = 1}', "title", 'A "b", c'),
+    ('@a{k, title = "A {b}, c", year = 1}', "title", "A {b}, c"),
+    ('@a{k, title = "A {"b",} c", year = 1}', "title", 'A {"b",} c'),
+    # Braces around the whole go, those around parts stay.
+    ("@a{k, title = {{{Whole}}}}", "title", "Whole"),
+    ('@a{k, title = "{Whole}"}', "title", "Whole"),
+    ("@a{k, title = {{A} and {B}}}", "title", "{A} and {B}"),
+    ("@a{k, title = { {A} }}", "title", "A"),
+    # Names in any case, longer names, missing and empty values.
+    ('@A{k, Title = "Any", BookTitle = "No"}', "title", "Any"),
+    ('@a{k, booktitle = "No"}', "title", None),
+    ('@a{k, title = {}, year = ""}', "title", None),
+    ('@a{k, title = , year = "2"}', "year", "2"),
+    ('@a{k, title = "first", title = "second"}', "title", "first"),
+    # What is never ended goes up to the end.
+    ('@a{k, title = "open', "title", "open"),
+    ("no entry at all", "title", None),
+    ("", "title", None),
+    (None, "title", None),
+]
+
+
+def test_bibtex_scan(spark):
+    rows = spark.createDataFrame([(i, bib) for i, (bib, _, _) in enumerate(SCANNED)], "i int, bib string")
+    found = rows.select("i", *[bibtex.field(F.col("bib"), name).alias(name) for name in ("title", "year", "month", "abstract")])
+    for row in found.collect():
+        bib, name, wanted = SCANNED[row["i"]]
+        assert row[name] == wanted, bib
+
+
+def test_bibtex_long_values(spark):
+    """A value of many commas, quotes and braces is read without deep recursion."""
+    body = 'word, {x} "y" z ' * 20_000
+    entry = f"@a{{k, abstract = {{{body}}}, year = 2020}}"
+    found = spark.createDataFrame([(entry,)], "v string").select(bibtex.fields(F.col("v")).alias("f")).first()["f"]
+    assert [(f["name"], f["form"]) for f in found] == [("abstract", "braced"), ("year", "bare")]
+    assert found[0]["raw"] == body and found[0]["value"] == body.strip()
+
+
+def test_views_of_the_scan_tell_forms_apart(spark):
+    assert one(spark, BRACED, lambda c: bibtex.quoted_field(c, "title")) is None
+    assert one(spark, BRACED, bibtex.bare_month) is None
+    assert one(spark, '@a{k, title = " {x} "}', lambda c: bibtex.quoted_field(c, "title")) == " {x} "
+
+
+def nested(depth, tag="div", text="core"):
+    return f"<{tag}>" * depth + text + f"</{tag}>" * depth
+
+
+MARKED = [
+    (f'<div class="rendering_researchoutput">a{nested(6)}b</div>c', [f"a{nested(6)}b"]),
+    ('<div class="x rendering_researchoutput"><p>a<b>c</div>after</div>', ["<p>a<b>c"]),
+    ("<section><div class='rendering_researchoutput'>a<span>b</section>c", ["a<span>b"]),
+    ('<div class="rendering_researchoutput">a<br>b<img src="x">c</div>', ['a<br>b<img src="x">c']),
+    ('<div class="rendering_researchoutput">a</span>b</div>', ["a</span>b"]),
+    ('<div class="rendering_researchoutput">a <!-- </div> --> b</div>', ["a <!-- </div> --> b"]),
+    ('<div class="rendering_researchoutput">a<script>"</div>"</script>b</div>', ['a<script>"</div>"</script>b']),
+    ('<div class="rendering_researchoutput">open', ["open"]),
+    ('<DIV CLASS=rendering_researchoutput>1 < 2</DIV>', ["1 < 2"]),
+    ('<div class="rendering_researchoutput_bibtex">no</div>', []),
+    (f'<div class="rendering_researchoutput">a<div class="rendering_researchoutput">b</div></div>',
+     ['a<div class="rendering_researchoutput">b</div>', "b"]),
+    ("", []),
+]
+
+
+def test_elements_by_the_stack_of_tags(spark):
+    rows = spark.createDataFrame([(i, page) for i, (page, _) in enumerate(MARKED)], "i int, page string")
+    for row in rows.select("i", html.elements(F.col("page"), html.RENDERED).alias("found")).collect():
+        page, wanted = MARKED[row["i"]]
+        assert row["found"] == wanted, page
+
+
+def test_paragraphs_end_where_the_next_begins(spark):
+    page = '<p class="relations persons"><a href="/1">Ann</a><p>other</p>'
+    assert one(spark, page, lambda c: html.first_element(c, html.PERSONS)) == '<a href="/1">Ann</a>'
+
+
+def test_all_marks_in_one_pass(spark):
+    page = (
+        '<h3 class="title"><a href="/x">T</a></h3>' + nested(6, "div", '<span class="concept-badge-small-container">'
+        "One<span><span>\n9%</span></span></span>") + '<p class="persons relations">A, B</p>'
+    )
+    marks = (html.PERSONS, html.CARD_TITLE, html.BADGE)
+    found = one(spark, page, lambda c: html.marked(c, marks))
+    assert [(f["mark"], f["text"]) for f in found] == [
+        (1, '<a href="/x">T</a>'), (2, "One<span><span>\n9%</span></span>"), (0, "A, B"),
+    ]
+
+
 def test_bibtex_authors(spark):
     people = one(spark, "Ann Bee and Cee, {D. E.}", bibtex.authors)
     assert [(p["name"], p["link"]) for p in people] == [("Ann Bee", None), ("Cee, D. E.", None)]
