@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexistat.functions.html import all_groups, rule_pattern
+from lexistat.session import stage
 
 RULE_GROUP = 200
+GRAM = 4
 
 
 def blocked(url: Column, rules: list[str]) -> Column:
@@ -35,20 +37,69 @@ def site(url: Column) -> Column:
 
 def rule_regex(rule: Column) -> Column:
     """The pattern of a rule in a column, as ``rule_pattern`` makes it of a string."""
-    return F.concat(F.lit("\\Q"), F.replace(rule, F.lit("*"), F.lit("\\E.*\\Q")), F.lit("\\E"))
+    literal = F.regexp_replace(rule, r"([\\\[\](){}.+?^$|])", r"\\$1")
+    return F.replace(literal, F.lit("*"), F.lit(".*"))
+
+
+def _grams(text: Column) -> Column:
+    """All distinct runs of GRAM characters."""
+    return F.when(
+        F.length(text) >= GRAM,
+        F.array_distinct(
+            F.transform(F.sequence(F.lit(1), F.length(text) - GRAM + 1), lambda i: F.substring(text, i, F.lit(GRAM)))
+        ),
+    ).otherwise(F.array().cast("array<string>"))
+
+
+def _literal_grams(rule: Column) -> Column:
+    """Grams that every URL blocked by a rule must hold: those between its wildcards."""
+    return F.array_distinct(F.flatten(F.transform(F.split(rule, r"\*"), _grams)))
+
+
+def rule_index(places: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(keys, apart)`` of distinct ``rules(site, rule)`` over ``places(site, url)``.
+
+    ``keys(site, gram, pattern)`` has one row per rule: the literal gram of it that the fewest URLs of
+    its site hold. A rule with a gram that no URL of its site holds blocks none and has no row. ``apart(site,
+    pattern)`` has the rules without a literal of GRAM characters.
+    """
+    grams = rules.select("site", "rule", _literal_grams(F.col("rule")).alias("grams"))
+    listed = stage(grams.select("site", "rule", F.explode("grams").alias("gram")), "rule-grams")
+    wanted = listed.select("site", "gram").distinct()
+    held = places.select("site", F.explode(_grams(F.col("url"))).alias("gram"))
+    # Counted per task before anything moves; only grams of rules of the site are.
+    counts = held.join(wanted, ["site", "gram"], "left_semi").groupBy("site", "gram").agg(F.count("*").alias("n"))
+    rarest = (
+        listed.join(counts, ["site", "gram"], "left")
+        .groupBy("site", "rule")
+        .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("key"))
+        .where("key.n > 0")
+    )
+    keys = rarest.select("site", "key.gram", rule_regex(F.col("rule")).alias("pattern"))
+    apart = grams.where(F.size("grams") == 0).select("site", rule_regex(F.col("rule")).alias("pattern"))
+    return stage(keys, "rule-keys"), stage(apart, "rules-apart")
+
+
+def rule_candidates(places: DataFrame, rules: DataFrame) -> DataFrame:
+    """``(url, pattern)``: the pairs that are tested, those of a URL with the rules whose key gram it holds."""
+    keys, apart = rule_index(places, rules)
+    held = places.select("site", "url", F.explode(_grams(F.col("url"))).alias("gram"))
+    by_gram = held.join(keys, ["site", "gram"]).select("url", "pattern")
+    return by_gram.unionByName(places.join(apart, "site").select("url", "pattern"))
 
 
 def allowed_by_site(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """Rows whose URL no rule of its own site blocks, for ``rules(site, rule)``.
 
-    Rules are joined on the site, so each is tested on the URLs of its site only, and rules of any
-    number of sites stay distributed. Rows without a URL are not blocked.
+    Rules are found by an equality join on the site and a run of characters, so a URL is tested by the
+    few rules that may block it and not by all of its site. Rows without a URL are not blocked.
     """
-    known = rules.where(F.trim("rule") != "").select(
-        F.col("site").alias("_site"), rule_regex(F.trim("rule")).alias("_pattern")
-    ).distinct()
-    hit = (site(F.col(url)) == F.col("_site")) & F.call_function("rlike", F.col(url), F.col("_pattern"))
-    return urls.join(known, hit, "left_anti")
+    known = stage(
+        rules.select("site", F.trim("rule").alias("rule")).where("rule != ''").distinct(), "rules"
+    )
+    places = urls.select(site(F.col(url)).alias("site"), F.col(url).alias("url")).where("url is not null").distinct()
+    hits = rule_candidates(places, known).where(F.call_function("rlike", F.col("url"), F.col("pattern")))
+    return urls.join(hits.select(F.col("url").alias(url)).distinct(), url, "left_anti").select(*urls.columns)
 
 
 def extracted(pages: DataFrame, text: str, pattern: str, keys: list[str]) -> DataFrame:
