@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexistat.session import stage
+
 BUCKETS = 4096
 SORT_LIMIT = 100_000
 IQR_REACH = 1.5
@@ -250,3 +252,143 @@ def boxplot_stats(df: DataFrame, columns: list[str], sort_limit: int = SORT_LIMI
         "column string, n bigint, lower_hinge double, median double, upper_hinge double, "
         "lower_whisker double, upper_whisker double, outside bigint",
     )
+
+
+def _parts(value: Column, low: Column, high: Column) -> Column:
+    """``_part`` for an interval in columns."""
+    most = sys.float_info.max
+    least, greatest = F.greatest(low, F.lit(-most)), F.least(high, F.lit(most))
+    width = greatest / BUCKETS - least / BUCKETS
+    far = (greatest - least) == math.inf
+    part = (
+        F.when(width == 0.0, (value >= greatest).cast("bigint"))
+        .when(far, F.floor(value / width - least / width).cast("bigint"))
+        .otherwise(F.floor((value - least) / width).cast("bigint"))
+    )
+    return (
+        F.when(value == math.inf, F.lit(BUCKETS + 2))
+        .when(value == -math.inf, F.lit(-2))
+        .otherwise(part)
+    )
+
+
+def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    """Equal keys, null keys being equal to each other."""
+    return reduce(Column.__and__, [left[n].eqNullSafe(right[n]) for n in names])
+
+
+def grouped_quantiles(
+    df: DataFrame, groups: list[str], columns: list[str], probabilities: list[float],
+    sort_limit: int = SORT_LIMIT,
+) -> DataFrame:
+    """``(groups, column, probability, n, value)``: exact quantiles (type 7) of each column in each group.
+
+    Every wanted rank is a row of a table with the interval it is known to lie in. As long as an interval
+    holds more than ``sort_limit`` values, it is cut into equal parts: the values are joined to their
+    group's intervals and counted per part, in the tasks first, and each rank goes on with the part it falls
+    in. Then the distinct values inside the intervals are put in order. The driver learns only whether
+    another pass is needed, however many groups there are, and no group is gathered in one task.
+    Groups are told apart null included; missing values do not count, and a group without one has no row.
+    """
+    keys = [f"_g{i}" for i in range(len(groups))]
+    shape = [*keys, "column"]
+    typed = df.select(
+        *[F.col(g).alias(k) for g, k in zip(groups, keys, strict=True)],
+        *[F.col(c).cast("double").alias(c) for c in columns],
+    )
+    values = typed.unpivot(keys, columns, "column", "value").where("value is not null and not isnan(value)")
+    ranges = values.groupBy(*shape).agg(
+        F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
+    spot = (F.col("n") - 1) * F.col("probability")
+    asked = ranges.withColumn("probability", F.explode(F.array(*map(F.lit, probabilities)))).select(
+        *shape, "n", "probability", "low", "high",
+        F.posexplode(F.array(F.floor(spot) + 1, F.ceil(spot) + 1)).alias("side", "rank"),
+    )
+    ranks = stage(
+        asked.select("*", F.lit(0).cast("bigint").alias("below"), F.col("n").alias("size")), "ranks"
+    )
+    span = [*shape, "low", "high"]
+
+    def inside(spans: DataFrame) -> DataFrame:
+        """Values that lie in an interval of their group, once per interval."""
+        joined = values.join(
+            spans, _same(values, spans, shape) & values["value"].between(spans["low"], spans["high"])
+        )
+        return joined.select(*[spans[c] for c in span], values["value"])
+
+    def located(ranks: DataFrame, counted: DataFrame, order: str, new: list[Column]) -> DataFrame:
+        """Each rank with the counted row it falls in; rows are in ``order`` within an interval."""
+        running = Window.partitionBy(*span).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        summed = counted.withColumn("through", F.sum("m").over(running)).alias("s")
+        r = ranks.alias("r")
+        place = F.col("r.rank") - F.col("r.below")
+        fits = (place <= F.col("s.through")) & (place > F.col("s.through") - F.col("s.m"))
+        same = reduce(Column.__and__, [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in span])
+        kept = [F.col(f"r.{c}") for c in (*shape, "n", "probability", "side", "rank")]
+        return r.join(summed, same & fits).select(*kept, *new)
+
+    large = (F.col("low") < F.col("high")) & (F.col("size") > sort_limit)
+    while not ranks.where(large).isEmpty():
+        spans = ranks.where(large).select(*span).distinct()
+        part = _parts(F.col("value"), F.col("low"), F.col("high")).alias("part")
+        counted = inside(spans).select("*", part).groupBy(*span, "part").agg(
+            F.count("*").alias("m"), F.min("value").alias("least"), F.max("value").alias("most")
+        )
+        cut = located(
+            ranks.where(large), counted, "part",
+            [F.col("s.least").alias("low"), F.col("s.most").alias("high"),
+             (F.col("r.below") + F.col("s.through") - F.col("s.m")).alias("below"), F.col("s.m").alias("size")],
+        )
+        ranks = stage(cut.unionByName(ranks.where(~large)), "ranks")
+    ready = ranks.where("low = high").withColumn("value", F.col("low"))
+    rest = ranks.where("low < high")
+    counted = inside(rest.select(*span).distinct()).groupBy(*span, "value").agg(F.count("*").alias("m"))
+    sorted_out = located(rest, counted, "value", [F.col("s.value").alias("value")])
+    found = ready.select(*sorted_out.columns).unionByName(sorted_out)
+    both = found.groupBy(*shape, "n", "probability").agg(
+        F.max(F.when(F.col("side") == 0, F.col("value"))).alias("low"),
+        F.max(F.when(F.col("side") == 1, F.col("value"))).alias("high"),
+    )
+    spot = (F.col("n") - 1) * F.col("probability")
+    step = (spot - F.floor(spot)) * (F.col("high") - F.col("low"))
+    value = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("low") + step)
+    return both.select(
+        *[F.col(k).alias(g) for g, k in zip(groups, keys, strict=True)], "column", "probability", "n",
+        value.alias("value"),
+    )
+
+
+def grouped_fences(
+    df: DataFrame, groups: list[str], columns: list[str], sort_limit: int = SORT_LIMIT
+) -> DataFrame:
+    """``(groups, column, n, q1, q3, lower, upper)``: quartiles and fences of each column in each group."""
+    quartiles = grouped_quantiles(df, groups, columns, [0.25, 0.75], sort_limit)
+    sides = quartiles.groupBy(*groups, "column", "n").agg(
+        F.max(F.when(F.col("probability") == 0.25, F.col("value"))).alias("q1"),
+        F.max(F.when(F.col("probability") == 0.75, F.col("value"))).alias("q3"),
+    )
+    reach = IQR_REACH * (F.col("q3") - F.col("q1"))
+    return sides.select("*", (F.col("q1") - reach).alias("lower"), (F.col("q3") + reach).alias("upper"))
+
+
+def without_group_outliers(
+    df: DataFrame, groups: list[str], columns: list[str], sort_limit: int = SORT_LIMIT
+) -> DataFrame:
+    """Rows with no value outside the fences of their own group; missing values are inside."""
+    fences = grouped_fences(df, groups, columns, sort_limit)
+    # One row per group, its fences by column.
+    wide = fences.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)]).agg(
+        F.map_from_entries(
+            F.collect_list(F.struct("column", F.struct("lower", "upper")))
+        ).alias("_fences")
+    )
+    same = reduce(Column.__and__, [df[g].eqNullSafe(wide[f"_g{i}"]) for i, g in enumerate(groups)])
+    outside = F.lit(False)
+    for c in columns:
+        fence = F.try_element_at(F.col("_fences"), F.lit(c))
+        value = F.col(c).cast("double")
+        outside = outside | F.coalesce(
+            ~F.isnan(value) & ((value < fence["lower"]) | (value > fence["upper"])), F.lit(False)
+        )
+    return df.join(wide, same, "left").where(~outside).select(*[df[c] for c in df.columns])

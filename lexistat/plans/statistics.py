@@ -349,3 +349,50 @@ ORACLES["mode_value"] = """
 SELECT event_type, count(*) AS "count" FROM events GROUP BY event_type
 ORDER BY count(*) DESC, event_type LIMIT 1
 """
+
+
+MONTH = "date_trunc('month', l_shipdate)"
+
+
+def _by_month(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "lineitem").withColumn("month", F.expr(f"cast({MONTH} AS date)"))
+
+
+def grouped_fences(spark: SparkSession, folder: str) -> DataFrame:
+    """Quartiles and fences of every return flag and month of shipping, exact."""
+    found = quantiles.grouped_fences(_by_month(spark, folder), ["l_returnflag", "month"], PRICES)
+    return found.select(
+        "l_returnflag", "month", "column", "n", *[(F.round(c, 4) + 0.0).alias(c) for c in ("q1", "q3", "lower", "upper")]
+    )
+
+
+QUERIES["grouped_fences"] = grouped_fences
+GROUPED_FENCES_SQL = " UNION ALL ".join(
+    f"""SELECT l_returnflag, {MONTH}::DATE AS month, '{c}' AS "column", count({c}) AS n,
+       quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM lineitem GROUP BY ALL"""
+    for c in PRICES
+)
+ORACLES["grouped_fences"] = f"""
+SELECT l_returnflag, month, "column", n, round(q1, 4) AS q1, round(q3, 4) AS q3,
+       round(q1 - 1.5 * (q3 - q1), 4) + 0.0 AS lower, round(q3 + 1.5 * (q3 - q1), 4) + 0.0 AS upper
+FROM ({GROUPED_FENCES_SQL})
+"""
+
+
+def group_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    """How many lines each month keeps when those outside its own fences go."""
+    months = ["l_returnflag", "month"]
+    kept = quantiles.without_group_outliers(_by_month(spark, folder), months, PRICES[:2])
+    return kept.groupBy(*months).agg(F.count("*").alias("kept"))
+
+
+QUERIES["group_outliers"] = group_outliers
+ORACLES["group_outliers"] = f"""
+WITH f AS ({GROUPED_FENCES_SQL}),
+l AS (SELECT *, {MONTH}::DATE AS month FROM lineitem)
+SELECT l_returnflag, month, count(*) AS kept FROM l
+WHERE NOT EXISTS (
+  SELECT 1 FROM f WHERE f.l_returnflag = l.l_returnflag AND f.month = l.month AND (
+    {" OR ".join(f"""("column" = '{c}' AND ({c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)))""" for c in PRICES[:2])}))
+GROUP BY ALL
+"""
