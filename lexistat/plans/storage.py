@@ -2,26 +2,27 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexistat.functions import html
 from lexistat.functions.text import clean_text
 from lexistat.operators import records, terms
 from lexistat.plans import retrieval, sql
+from lexistat.plans.crawl import PAGE_HREF
 from lexistat.plans.statistics import SIGNALS_SQL
-from lexistat.session import shared_folder
+from lexistat.session import own_folder
 from lexistat.sources import publications
 from lexistat.sources.tables import portal_pages, signals, table
-from lexistat.streaming.snapshot import land_publications, land_rejected
+from lexistat.streaming import seen
+from lexistat.streaming.snapshot import land
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/round-trip/{name}-{uuid.uuid4().hex}"
+    return f"{own_folder(spark, 'round-trip')}/{name}"
 
 
 def publications_json(spark: SparkSession, folder: str) -> DataFrame:
@@ -74,13 +75,13 @@ def landed_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     portal = portal_pages(spark, folder).select((-F.col("page_id") - 1).alias("page_id"), "url", "html")
     source = _folder(spark, "pages")
     pages.unionByName(portal).write.parquet(source)
-    found = []
-    for outcome, land in (("accepted", land_publications), ("rejected", land_rejected)):
-        target = _folder(spark, outcome)
-        land(spark, source, target, _folder(spark, f"{outcome}-progress")).awaitTermination()
-        read = spark.read.schema(publications.PUBLICATION).parquet(target)
-        found.append(read.select("id", F.lit(outcome).alias("outcome")))
-    return found[0].unionByName(found[1])
+    targets = {outcome: _folder(spark, outcome) for outcome in ("accepted", "rejected")}
+    land(spark, source, *targets.values(), _folder(spark, "progress")).awaitTermination()
+    accepted, rejected = (
+        spark.read.schema(publications.PUBLICATION).parquet(target).select("id", F.lit(outcome).alias("outcome"))
+        for outcome, target in targets.items()
+    )
+    return accepted.unionByName(rejected)
 
 
 QUERIES["landed_snapshot"] = landed_snapshot
@@ -88,3 +89,25 @@ ORACLES["landed_snapshot"] = """
 SELECT -page_id - 1 AS id, 'accepted' AS outcome FROM pages
 UNION ALL SELECT page_id, 'rejected' FROM pages
 """
+
+
+def landed_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """Links of all pages in two landings, of odd pages and then of even ones: which brings a URL first."""
+    found = table(spark, folder, "pages").select(
+        "page_id", F.posexplode(html.all_groups(F.col("html"), PAGE_HREF)).alias("place", "url")
+    )
+    source, seen_urls, progress = (_folder(spark, name) for name in ("links", "seen", "seen-progress"))
+    for odd in (1, 0):
+        found.where(F.abs("page_id") % 2 == odd).write.mode("append").parquet(source)
+        seen.land_urls(spark, source, seen_urls, progress).awaitTermination()
+    return seen.seen(spark, seen_urls).select("url", "page_id", "place", "batch")
+
+
+QUERIES["landed_urls"] = landed_urls
+ORACLES["landed_urls"] = f"""
+WITH a AS (SELECT page_id, regexp_extract_all(html, '{PAGE_HREF}', 1) AS u FROM pages),
+e AS (SELECT page_id, unnest(u) AS url, (generate_subscripts(u, 1) - 1)::INT AS place FROM a),
+r AS (SELECT *, 1 - abs(page_id) % 2 AS batch,
+             row_number() OVER (PARTITION BY url ORDER BY abs(page_id) % 2 DESC, page_id, place) AS k FROM e)
+SELECT url, page_id, place, batch FROM r WHERE k = 1
+"""

@@ -51,17 +51,43 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+def dropped_at_exit(spark: SparkSession, path: str) -> str:
+    """Have a written folder deleted when the application ends; ``path`` again."""
+    files, place = _file_system(spark, path)
+    files.deleteOnExit(place)
+    return path
+
+
+def own_folder(spark: SparkSession, name: str) -> str:
+    """A new folder beside the staged tables that goes with all that is written into it."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    files, place = _file_system(spark, path)
+    files.mkdirs(place)
+    return dropped_at_exit(spark, path)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a folder of one's own, if it is there."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where one result feeds several passes. The files give the planner a true size, so it
     broadcasts the table only under ``spark.sql.autoBroadcastJoinThreshold``, and they outlive
-    any executor.
+    any executor. They go when the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(dropped_at_exit(spark, path))
 
 
 def full_splits(df: DataFrame) -> int | None:
