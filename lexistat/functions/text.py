@@ -26,6 +26,15 @@ STOP_WORDS = tuple(
 # Words the tokeniser splits in two, at the point marked by the blank.
 SPLIT_WORDS = ("can not", "gim me", "gon na", "got ta", "lem me", "wan na")
 
+# Endings that inflected English words lose, and what takes their place, as the public
+# lexical database lists them: nouns, verbs, adjectives.
+SUFFIX_RULES = (
+    ("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"), ("ches", "ch"), ("shes", "sh"),
+    ("men", "man"), ("ies", "y"),
+    ("es", "e"), ("es", ""), ("ed", "e"), ("ed", ""), ("ing", "e"), ("ing", ""),
+    ("er", ""), ("est", ""), ("er", "e"), ("est", "e"),
+)
+
 _SPLIT_PATTERN = r"\b(?:" + "|".join(
     f"({head})(?={tail}{'(?: |$)' if head == 'wan' else chr(92) + 'b'})"
     for head, tail in (word.split() for word in SPLIT_WORDS)

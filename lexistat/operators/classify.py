@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from lexistat.functions.text import word_terms
 from lexistat.operators.regression import split_by_hash
-from lexistat.operators.terms import fit_idf, tfidf_weights
-from lexistat.session import placed, spread, stage
+from lexistat.operators.terms import counted_weights, tfidf_weights
+from lexistat.session import placed, stage
 
 SMOOTHING = 1.0
 TRAINING_SHARE = 0.8
@@ -39,8 +39,7 @@ def train(
     """Fit on ``(key, text, label)``. Class priors are not smoothed, term probabilities are."""
     terms = word_terms(F.col(text)) if terms is None else terms
     labelled = docs.select(key, text, F.col(label).alias("label")).where("label is not null")
-    idf = fit_idf(spread(labelled, key), terms, key)
-    with_label = tfidf_weights(placed(labelled, key), terms, idf, key, ("label",))
+    with_label, idf = counted_weights(placed(labelled, key), terms, key, ("label",))
     sums = stage(with_label.groupBy("label", "term").agg(F.sum("w").alias("s")), "class_terms")
     size = idf.agg(F.count("*").alias("v")).scalar()
     totals = sums.groupBy("label").agg(F.sum("s").alias("total"))
@@ -83,24 +82,27 @@ def _scored(
         .groupBy(key, "label")
         .agg(F.sum(F.col("w") * F.col("lift")).alias("part"))
         .unionByName(docs.select(key, nobody, F.lit(0.0).alias("part")))
-        .groupBy(key)
-        .agg(F.collect_list(F.struct("label", "part")).alias("parts"))
+    )
+    # All that a document's labels have gained as one map, and what its terms weigh in all; then each label
+    # takes its own entry.
+    found = F.filter(
+        F.collect_list(F.when(F.col("label").isNotNull(), F.struct("label", "part"))), lambda p: p.isNotNull()
+    )
+    gained = parts.groupBy(key).agg(
+        F.map_from_entries(found).alias("gained"),
+        F.sum(F.when(F.col("label").isNull(), F.col("part"))).alias("weight"),
     )
     labels = model.priors.agg(
         F.collect_list(F.struct("label", "log_prior", "unseen")).alias("labels")
     ).scalar()
 
     def score(of: Column) -> Column:
-        def add(total: Column, p: Column) -> Column:
-            return total + F.when(p["label"].isNull(), p["part"] * of["unseen"]).when(
-                p["label"] == of["label"], p["part"]
-            ).otherwise(F.lit(0.0))
-
+        own = F.coalesce(F.try_element_at(F.col("gained"), of["label"]), F.lit(0.0))
         return F.struct(
-            of["label"].alias("label"), F.aggregate("parts", of["log_prior"], add).alias("score")
+            of["label"].alias("label"), (of["log_prior"] + F.col("weight") * of["unseen"] + own).alias("score")
         )
 
-    return parts.select(key, "parts", labels.alias("labels")).select(
+    return gained.select(key, "gained", "weight", labels.alias("labels")).select(
         key, F.transform("labels", score).alias("scores")
     )
 

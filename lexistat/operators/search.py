@@ -7,9 +7,10 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexistat.functions.text import STOP_WORDS, clean_text, vector_terms
+from lexistat.functions.text import STOP_WORDS, clean_text
 from lexistat.operators.ordering import global_index
-from lexistat.operators.terms import cleaned, fit_idf, for_lookup, normalised, term_counts
+from lexistat.operators.terms import cleaned, counted_idf, for_lookup, normalised, term_counts
+from lexistat.operators.topk import Pruned, block_tops, blocked, pruned_scores
 from lexistat.session import shuffle_parts, stage
 
 PAGE_SIZE = 30
@@ -49,27 +50,38 @@ def build_index(
     stop_words: Iterable[str] = STOP_WORDS, lemmas: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(index, idf)`` of a corpus: ``index(key, term, n, tf, w)``, ``idf(term, df, idf)``."""
-    clean = cleaned(docs, text, key, stop_words, lemmas)
-    idf = fit_idf(clean, vector_terms(F.col("clean")), key)
-    moved = cleaned(docs, text, key, stop_words, lemmas, place=True)
-    return normalised(index_rows(moved, key), for_lookup(idf), key, "left"), idf
+    # The texts are cleaned once; frequencies and weights come from the counts.
+    clean = cleaned(docs, text, key, stop_words, lemmas, place=True)
+    counts = stage(index_rows(clean, key), "counts")
+    idf = counted_idf(counts, docs.select(key))
+    return normalised(counts, for_lookup(idf), key, "left"), idf
 
 
 def write_index(index: DataFrame, idf: DataFrame, path: str) -> None:
-    """Store an index sorted by term, so that a search reads the row groups of its terms only.
+    """Store an index by term, in blocks with their tops, so that a search opens the files of its terms only.
 
-    Range partitioning on term and document cuts a very frequent term into several files. The
+    Range partitioning on term and block cuts a very frequent term into several files. The
     range sort reads its input twice, so the index is staged before it.
     """
     key = next(c for c in index.columns if c not in ("term", "n", "tf", "w"))
-    rows = stage(index, "index")
-    ranged = rows.repartitionByRange(shuffle_parts(rows), "term", key)
-    ranged.sortWithinPartitions("term", key).write.mode("overwrite").parquet(f"{path}/index")
+    rows = stage(blocked(index, key), "index")
+    ranged = rows.repartitionByRange(shuffle_parts(rows), "term", "block", key)
+    ranged.sortWithinPartitions("term", "block", key).write.mode("overwrite").parquet(f"{path}/index")
+    block_tops(rows).write.mode("overwrite").parquet(f"{path}/tops")
     idf.write.mode("overwrite").parquet(f"{path}/idf")
 
 
 def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return spark.read.parquet(f"{path}/index"), spark.read.parquet(f"{path}/idf")
+    """``(index, idf)`` of a stored index."""
+    return spark.read.parquet(f"{path}/index").drop("block"), spark.read.parquet(f"{path}/idf")
+
+
+def stored_scores(
+    spark: SparkSession, path: str, terms: DataFrame, wanted: int, key: str = "doc_id"
+) -> Pruned:
+    """``pruned_scores`` of query terms over a stored index."""
+    postings, tops = (spark.read.parquet(f"{path}/{name}") for name in ("index", "tops"))
+    return pruned_scores(postings, tops, terms, wanted, key)
 
 
 def query_terms(

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexistat.functions.text import STOP_WORDS, clean_text, tokens, without_stop_words
+from lexistat.functions.text import STOP_WORDS, SUFFIX_RULES, clean_text, tokens, without_stop_words
 from lexistat.operators.ordering import global_index
 from lexistat.session import few_splits, shuffle_parts, spread, stage
 
@@ -42,6 +42,38 @@ def cleaned(
     )
 
 
+def suffix_rules(spark: SparkSession, rules: Iterable[tuple[str, str]] = SUFFIX_RULES) -> DataFrame:
+    """``(place, suffix, ending)``: what a suffix is replaced by, in the order of preference."""
+    rows = [(place, *rule) for place, rule in enumerate(rules)]
+    return spark.createDataFrame(rows, "place int, suffix string, ending string")
+
+
+def suffix_lemmas(tokens: DataFrame, listed: DataFrame, rules: DataFrame) -> DataFrame:
+    """``(token, lemma)`` of the distinct ``tokens(token)`` that a rule turns into a listed word.
+
+    Suffixes are tried from the longest to the shortest, those of one length in the order of their
+    rules; a result counts only if ``listed(word)`` has it. Tokens without such a rule have no row, so
+    that cleaning leaves them as they are. Each token meets the rules by an equality join on its suffixes, no
+    longer than the longest of a rule, and the words by one on the results.
+    """
+    longest = rules.agg(F.coalesce(F.max(F.length("suffix")), F.lit(0)).alias("longest"))
+    each = tokens.select("token").where("token is not null").distinct().join(F.broadcast(longest))
+    sizes = F.when(
+        F.least("longest", F.length("token") - 1) > 0,
+        F.sequence(F.lit(1), F.least("longest", F.length("token") - 1)),
+    )
+    cut = each.select("token", F.explode(sizes).alias("size")).select(
+        "token", "size", F.expr("right(token, size)").alias("suffix"),
+        F.expr("left(token, length(token) - size)").alias("stem"),
+    )
+    results = cut.join(rules, "suffix").select(
+        "token", "size", "place", F.concat("stem", "ending").alias("lemma")
+    )
+    known = results.join(listed.select(F.col("word").alias("lemma")), "lemma", "left_semi")
+    best = F.min(F.struct(-F.col("size"), "place", "lemma")).alias("best")
+    return known.groupBy("token").agg(best).select("token", "best.lemma")
+
+
 def term_counts(
     docs: DataFrame, terms: Column, key: str = "doc_id", carry: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -91,6 +123,23 @@ def fit_idf(docs: DataFrame, terms: Column, key: str = "doc_id") -> DataFrame:
     return stage(document_frequencies(docs, terms).withColumn("idf", idf), "idf")
 
 
+def counted_idf(counts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``fit_idf`` from the counts ``(key, term, tf)`` of a corpus and the ids of all its documents."""
+    n = ids.agg(F.count(ids.columns[0]).alias("n")).scalar()
+    idf = F.ln((n + 1) / (F.col("df") + 1)) + 1
+    seen = counts.where("tf > 0").groupBy("term").agg(F.count("*").alias("df"))
+    return stage(seen.withColumn("idf", idf), "idf")
+
+
+def counted_weights(
+    docs: DataFrame, terms: Column, key: str = "doc_id", carry: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """``(weights, idf)`` of a corpus whose texts are read once: the counts are staged, and both come from them."""
+    counts = stage(term_counts(docs, terms, key, carry), "counts")
+    idf = counted_idf(counts, docs.select(key))
+    return normalised(counts, for_lookup(idf), key), idf
+
+
 def for_lookup(idf: DataFrame) -> DataFrame:
     """The fitted vocabulary as the planner takes it.
 

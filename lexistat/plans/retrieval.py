@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexistat.functions.text import STOP_WORDS, tokens, vector_terms, without_stop_words
-from lexistat.operators import search, terms
+from lexistat.functions.text import STOP_WORDS, SUFFIX_RULES, tokens, vector_terms, without_stop_words
+from lexistat.operators import search, segments, terms
 from lexistat.plans import sql
-from lexistat.session import shared_folder, spread
+from lexistat.session import own_folder, spread, stage
 from lexistat.sources.tables import table
 
 QUERIES: dict = {}
@@ -41,8 +39,25 @@ def _asked(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(ASKED), "query_id int, query string")
 
 
+_stored: dict[tuple[str, str], str] = {}
+
+
+def _index_path(spark: SparkSession, folder: str) -> str:
+    """The index of a folder's documents, built by the first search of the application and kept for the others."""
+    place = (spark.sparkContext.applicationId, folder)
+    if place not in _stored:
+        _stored[place] = _build(spark, folder)
+    return _stored[place]
+
+
+def _build(spark: SparkSession, folder: str) -> str:
+    path = own_folder(spark, "index")
+    search.write_index(*search.build_index(_documents(spark, folder)), path)
+    return path
+
+
 def _index(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return search.build_index(_documents(spark, folder))
+    return search.read_index(spark, _index_path(spark, folder))
 
 
 def _scores(spark: SparkSession, folder: str, asked: DataFrame | None = None) -> DataFrame:
@@ -50,6 +65,13 @@ def _scores(spark: SparkSession, folder: str, asked: DataFrame | None = None) ->
     return search.scores(index, search.query_terms(asked or _asked(spark), idf))
 
 
+def _best(spark: SparkSession, folder: str, asked: DataFrame, wanted: int) -> DataFrame:
+    """The scores that the best ``wanted`` documents need."""
+    path = _index_path(spark, folder)
+    terms_of = search.query_terms(asked, search.read_index(spark, path)[1])
+    return search.stored_scores(spark, path, terms_of, wanted).scored
+
+
 def clean_text(spark: SparkSession, folder: str) -> DataFrame:
     return terms.cleaned(_documents(spark, folder))
 
@@ -99,6 +121,31 @@ FROM documents
 """
 
 
+def lemma_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Lemmas by suffix rules: a result counts where the corpus itself has it as a token."""
+    docs = _documents(spark, folder)
+    words = terms.cleaned(docs).select(F.explode(F.split("clean", " ")).alias("token"))
+    seen = stage(words.where("token != ''").distinct(), "seen")
+    lemmas = terms.suffix_lemmas(seen, seen.withColumnRenamed("token", "word"), terms.suffix_rules(spark))
+    return terms.cleaned(docs, lemmas=lemmas)
+
+
+QUERIES["lemma_rules"] = lemma_rules
+ORACLES["lemma_rules"] = f"""
+WITH cl AS (SELECT doc_id, {sql.clean_tokens('text')} AS words FROM documents),
+w AS (SELECT doc_id, unnest(words) AS token, generate_subscripts(words, 1) AS place FROM cl),
+seen AS (SELECT DISTINCT token FROM w),
+rules(place, suffix, ending) AS (VALUES {', '.join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(SUFFIX_RULES))}),
+made AS (SELECT token, left(token, len(token) - len(suffix)) || ending AS lemma,
+                row_number() OVER (PARTITION BY token ORDER BY len(suffix) DESC, place) AS k
+         FROM seen JOIN rules ON ends_with(token, suffix) AND len(token) > len(suffix)
+         WHERE left(token, len(token) - len(suffix)) || ending IN (SELECT token FROM seen)),
+done AS (SELECT doc_id, string_agg(coalesce(lemma, w.token), ' ' ORDER BY w.place) AS clean
+         FROM w LEFT JOIN made ON made.token = w.token AND k = 1 GROUP BY doc_id)
+SELECT doc_id, coalesce(clean, '') AS clean FROM documents LEFT JOIN done USING (doc_id)
+"""
+
+
 def _counts(spark: SparkSession, folder: str) -> DataFrame:
     clean = terms.cleaned(_documents(spark, folder), place=True)
     return terms.term_counts(clean, F.split("clean", " "))
@@ -131,10 +178,8 @@ SELECT term, count(DISTINCT doc_id) AS df, count(*) AS cf FROM p GROUP BY term
 
 
 def tfidf_weights(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _documents(spark, folder)
-    words = vector_terms(F.col("clean"))
-    idf = terms.fit_idf(terms.cleaned(docs), words)
-    weights = terms.tfidf_weights(terms.cleaned(docs, place=True), words, idf)
+    clean = terms.cleaned(_documents(spark, folder), place=True)
+    weights, _ = terms.counted_weights(clean, vector_terms(F.col("clean")))
     return weights.select("doc_id", "term", "tf", F.round("w", 6).alias("w"))
 
 
@@ -203,7 +248,7 @@ FROM rr WHERE rank > {(page - 1) * PAGE} AND rank <= {page * PAGE}
 
 
 def search_topk(spark: SparkSession, folder: str) -> DataFrame:
-    return _page(_scores(spark, folder), 1)
+    return _page(_best(spark, folder, _asked(spark), PAGE), 1)
 
 
 QUERIES["search_topk"] = search_topk
@@ -211,10 +256,8 @@ ORACLES["search_topk"] = _page_sql(1)
 
 
 def stored_index_search(spark: SparkSession, folder: str) -> DataFrame:
-    """The same page from an index written to files, sorted by term, and read back."""
-    path = f"{shared_folder(spark)}/index-{uuid.uuid4().hex}"
-    search.write_index(*_index(spark, folder), path)
-    index, idf = search.read_index(spark, path)
+    """The same page from an index that is built and written for it, every score of it."""
+    index, idf = search.read_index(spark, _build(spark, folder))
     return _page(search.scores(index, search.query_terms(_asked(spark), idf)), 1)
 
 
@@ -222,8 +265,24 @@ QUERIES["stored_index_search"] = stored_index_search
 ORACLES["stored_index_search"] = _page_sql(1)
 
 
+def segmented_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The same page from an index that grew by two segments, with documents deleted and added anew."""
+    docs, doc = _documents(spark, folder), F.abs("doc_id")
+    path = own_folder(spark, "segments")
+    segments.add(docs.where(doc % 2 == 0), path)
+    segments.delete(docs.where(doc % 10 == 0), path)
+    segments.add(docs.where((doc % 4 == 1) | (doc % 10 == 0)), path)
+    segments.add(docs.where(doc % 4 == 3), path)
+    index, idf = segments.read(spark, path)
+    return _page(search.scores(index, search.query_terms(_asked(spark), idf)), 1)
+
+
+QUERIES["segmented_search"] = segmented_search
+ORACLES["segmented_search"] = _page_sql(1)
+
+
 def search_page2(spark: SparkSession, folder: str) -> DataFrame:
-    return _page(_scores(spark, folder), 2)
+    return _page(_best(spark, folder, _asked(spark), 2 * PAGE), 2)
 
 
 QUERIES["search_page2"] = search_page2
@@ -310,10 +369,28 @@ def benchmark_search(spark: SparkSession, folder: str) -> DataFrame:
     items = table(spark, folder, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("query")
     )
-    return _page(_scores(spark, folder, items), 1)
+    return _page(_best(spark, folder, items, PAGE), 1)
 
 
 QUERIES["benchmark_search"] = benchmark_search
 ORACLES["benchmark_search"] = _page_sql(1).replace(
     ASKED_SQL, "SELECT item_id AS query_id, text AS query FROM benchmark"
 )
+
+
+def index_build(spark: SparkSession, folder: str) -> DataFrame:
+    """An index built and written anew: its terms with their postings, as token and as vectoriser term."""
+    index, _ = search.read_index(spark, _build(spark, folder))
+    return index.groupBy("term").agg(
+        F.count_if(F.col("n") > 0).alias("listed"), F.count_if(F.col("tf") > 0).alias("df")
+    )
+
+
+QUERIES["index_build"] = index_build
+ORACLES["index_build"] = f"""
+WITH {sql.INDEX}
+SELECT term, count(DISTINCT CASE WHEN idx.n > 0 THEN idx.doc_id END) AS listed, coalesce(max(df), 0) AS df
+FROM (SELECT term FROM idx UNION SELECT term FROM vec) t
+LEFT JOIN idx USING (term) LEFT JOIN (SELECT term, count(*) AS df FROM vec GROUP BY term) d USING (term)
+GROUP BY term
+"""
