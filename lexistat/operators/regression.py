@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, replace
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexistat.functions.numeric import hash_unit, normal_quantile
 from lexistat.operators.ordering import global_index
 from lexistat.operators.quantiles import SORT_LIMIT, exact_quantiles
+from lexistat.session import stage
 
 # The candidate models, as (column, power) terms; an intercept comes first in each.
 MODELS: dict[str, tuple[tuple[str, int], ...]] = {
@@ -24,7 +26,8 @@ MODELS: dict[str, tuple[tuple[str, int], ...]] = {
 }
 
 INTERVAL_Z = 1.96
-SINGULAR = 1e-12
+ILL_CONDITIONED = 1e8  # correlations of a larger condition number leave too few digits
+FAN = 64
 
 Term = tuple[str, int]
 
@@ -56,6 +59,7 @@ class Fit:
     correlation: np.ndarray
     with_y: np.ndarray
     theta: tuple[float, ...] | None
+    inverse: np.ndarray | None = None  # of the correlations, where they alone do not give it
 
     @property
     def parameters(self) -> int:
@@ -75,7 +79,7 @@ class Fit:
 
     def leverage(self) -> Column:
         """Quadratic form of a row in the inverse cross-product matrix of the fit."""
-        inverse = np.linalg.inv(self.correlation)
+        inverse = np.linalg.inv(self.correlation) if self.inverse is None else self.inverse
         value = F.lit(1.0 / self.n)
         for i in range(len(self.terms)):
             for j in range(len(self.terms)):
@@ -97,7 +101,9 @@ def fit_models(
     """Least squares on standardised predictors for all models from one aggregation.
 
     Means, deviations and covariances of the terms are taken over the table once; what reaches
-    the driver is that one row, and what is solved there is one small matrix per model.
+    the driver is that one row, and what is solved there is one small matrix per model. Where the
+    predictors are so nearly dependent that covariances would lose the digits, a second pass
+    decomposes the rows themselves.
     """
     terms = sorted({t for wanted in models.values() for t in wanted})
     needed = {
@@ -113,6 +119,7 @@ def fit_models(
         *[F.covar_samp(term_value(a), term_value(b)) for a, b in pairs],
     ).first()
     n, y_mean, y_sd = row[0], row[1], row[2]
+    unsolved: list[int] = []
     m = len(terms)
     mean = dict(zip(terms, row[3 : 3 + m]))
     sd = dict(zip(terms, row[3 + m : 3 + 2 * m]))
@@ -130,17 +137,63 @@ def fit_models(
         vector = np.array([r_y[t] for t in wanted])
         known = np.isfinite(matrix).all() and np.isfinite(vector).all() and n > k + 1
         theta = None
-        if known and abs(np.linalg.det(matrix)) >= SINGULAR:
+        if known and np.linalg.cond(matrix) <= ILL_CONDITIONED:
             theta = (y_mean, *(float(b) for b in np.linalg.solve(matrix, vector) * y_sd))
+        elif known:
+            unsolved.append(len(fits))
         fits.append(
             Fit(
                 name, tuple(wanted), n, y_mean, y_sd, tuple(mean[t] for t in wanted),
                 tuple(sd[t] for t in wanted), matrix, vector, theta,
             )
         )
+    if unsolved:
+        again = [fits[i] for i in unsolved]
+        scaled = {t: f.scaled(i) for f in again for i, t in enumerate(f.terms)}
+        columns = [F.lit(1.0), *scaled.values(), y]
+        factor = tall_qr(complete_rows(df, terms, output), columns)
+        for i, fit in zip(unsolved, again, strict=True):
+            places = [0, *(1 + [*scaled].index(t) for t in fit.terms)]
+            fits[i] = replace(fit, **solved(factor[:, places], factor[:, -1], fit.n))
     return fits
 
 
+def solved(x: np.ndarray, y: np.ndarray, n: int) -> dict:
+    """Coefficients and inverse correlations from the columns of a triangular factor; none below full rank."""
+    left, sizes, right = np.linalg.svd(x, full_matrices=False)
+    if sizes[-1] <= sizes[0] * max(x.shape) * np.finfo(float).eps:
+        return {"theta": None}
+    theta = right.T @ ((left.T @ y) / sizes)
+    inverse = (right.T / sizes**2) @ right * (n - 1)
+    return {"theta": tuple(map(float, theta)), "inverse": inverse[1:, 1:]}
+
+
+def tall_qr(df: DataFrame, columns: list[Column], fan: int = FAN) -> np.ndarray:
+    """The triangular factor R of a QR decomposition of the rows, up to signs of its own rows.
+
+    Every task reduces its rows to one factor, batch by batch, and factors are reduced ``fan`` at a time
+    until so many are left, which the driver reduces. A factor has one row per column, whatever the table.
+    """
+    width = len(columns)
+
+    def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factor = np.zeros((0, width))
+        for batch in batches:
+            rows = batch.column("x").flatten().to_numpy().reshape(-1, width)
+            factor = np.linalg.qr(np.concatenate([factor, rows]), mode="r")
+        if len(factor):
+            yield pa.RecordBatch.from_arrays([pa.array(factor.tolist(), pa.list_(pa.float64()))], ["x"])
+
+    rows = df.select(F.array(*[c.cast("double") for c in columns]).alias("x"))
+    factors = stage(rows.mapInArrow(reduced, "x array<double>"), "factors")
+    while (left := factors.count()) > fan * width:
+        parts = -(-left // (fan * width))
+        factors = stage(factors.repartition(parts).mapInArrow(reduced, "x array<double>"), "factors")
+    last = np.array([row["x"] for row in factors.collect()]).reshape(-1, width)
+    factor = np.linalg.qr(last, mode="r")
+    return np.concatenate([factor, np.zeros((width - len(factor), width))])
+
+
 def _ratio(covariance: float | None, sd_a: float | None, sd_b: float | None) -> float:
     """Correlation, NaN where it is not defined (a constant column, too few rows)."""
     return covariance / (sd_a * sd_b) if covariance is not None and sd_a and sd_b else float("nan")

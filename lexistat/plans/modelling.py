@@ -117,6 +117,31 @@ ORACLES["ols_theta"] = f"WITH {FITS_SQL} " + " UNION ALL ".join(
 )
 
 
+NEAR = 1e-7
+
+
+def collinear_theta(spark: SparkSession, folder: str) -> DataFrame:
+    """Two predictors that differ by a ten-millionth of a third: coefficients times that part."""
+    near = filtered(spark, folder).withColumn("near", F.col("x4") + F.lit(NEAR) * F.col("x3"))
+    fits = regression.fit_models(near, {"near": (("x4", 1), ("near", 1))})
+    table = regression.theta_table(spark, fits)
+    small = F.when(F.col("term") == "intercept", F.col("theta")).otherwise(F.col("theta") * NEAR)
+    return table.select("term", F.round(small, 3).alias("theta"))
+
+
+QUERIES["collinear_theta"] = collinear_theta
+# y = c0 + c1 * x4 + c2 * (x4 + e * x3) is y = c0 + (c1 + c2) * x4 + c2 * e * x3, which is well conditioned.
+ORACLES["collinear_theta"] = f"""
+WITH {FILTERED_SQL},
+s AS (SELECT avg(y) AS ym, covar_samp(x4, y) AS ay, covar_samp(x3, y) AS b_y, var_samp(x4) AS aa,
+             var_samp(x3) AS bb, covar_samp(x4, x3) AS ab FROM flt),
+g AS (SELECT *, (ay * bb - b_y * ab) / (aa * bb - ab * ab) AS ga, (b_y * aa - ay * ab) / (aa * bb - ab * ab) AS gb FROM s)
+SELECT 'intercept' AS term, round(ym, 3) AS theta FROM g
+UNION ALL SELECT 'x4', round((ga * {NEAR} - gb) * sqrt(aa), 3) FROM g
+UNION ALL SELECT 'near', round(gb * sqrt(aa + 2 * {NEAR} * ab + {NEAR} * {NEAR} * bb), 3) FROM g
+"""
+
+
 def _scores(spark: SparkSession, folder: str) -> DataFrame:
     rows, fits = _fitted(spark, folder)
     return regression.model_scores(rows, fits)

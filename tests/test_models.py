@@ -241,3 +241,39 @@ def test_rows_without_a_key_are_not_lost(spark):
     frame = spark.createDataFrame([(None,), (1,), (2,)], "k long")
     parts = regression.split_by_hash(frame, "k", 0.5)
     assert sum(p.count() for p in parts) == 3
+
+
+def near(spark, apart, rows=400):
+    chance = np.random.default_rng(2)
+    a, b = chance.normal(5, 2, rows), chance.normal(0, 1, rows)
+    y = 3 + 2 * a - b + chance.normal(0, 0.1, rows)
+    c = a + apart * b
+    data = [tuple(map(float, r)) for r in zip(a, c, y, strict=True)]
+    return a, c, y, spark.createDataFrame(data, "a double, c double, y double").repartition(7)
+
+
+def test_nearly_collinear_predictors_agree_with_a_decomposition(spark):
+    a, c, y, table = near(spark, 1e-7)
+    fit = regression.fit_models(table, {"m": (("a", 1), ("c", 1))})[0]
+    assert abs(np.linalg.det(fit.correlation)) < 1e-12 and fit.theta is not None
+    x = np.column_stack([np.ones(len(y)), (a - fit.means[0]) / fit.sds[0], (c - fit.means[1]) / fit.sds[1]])
+    q, r = np.linalg.qr(x)
+    wanted = np.linalg.solve(r, q.T @ y)
+    assert np.allclose(fit.theta, wanted, rtol=1e-8, atol=0)
+    rows = regression.prediction_intervals(table, table, (("a", 1), ("c", 1)), ["a"]).collect()
+    assert max(abs(r["predicted"] - r["actual"]) for r in rows) < 0.6
+    assert all(r["lower"] < r["predicted"] < r["upper"] for r in rows)
+
+
+def test_dependent_predictors_have_no_coefficients(spark):
+    _, _, _, table = near(spark, 0.0)
+    assert regression.fit_models(table, {"m": (("a", 1), ("c", 1))})[0].theta is None
+
+
+def test_factors_are_combined_in_a_tree(spark):
+    rows = np.random.default_rng(5).normal(size=(300, 3))
+    table = spark.createDataFrame([tuple(map(float, r)) for r in rows], "a double, b double, c double").repartition(40)
+    factor = regression.tall_qr(table, [F.col(name) for name in "abc"], fan=4)
+    assert np.allclose(factor.T @ factor, rows.T @ rows)
+    empty = regression.tall_qr(table.where("false"), [F.col(name) for name in "abc"])
+    assert empty.shape == (3, 3) and not empty.any()
