@@ -52,3 +52,9 @@ def test_new_page_files_are_appended_once(spark, tmp_path):
     land(2)
     found = spark.read.parquet(target)
     assert sorted((r["id"], r["year"]) for r in found.collect()) == [(1, "2001"), (2, "2002")]
+
+
+def test_inline_table_keeps_nulls_and_types(spark):
+    table = inline_table(spark, [(1, "a", None), (2, None, 0.5)], "id bigint, name string, share double")
+    assert [tuple(r) for r in table.orderBy("id").collect()] == [(1, "a", None), (2, None, 0.5)]
+    assert table.schema.simpleString() == "struct<id:bigint,name:string,share:double>"
