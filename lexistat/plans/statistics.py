@@ -362,7 +362,7 @@ def grouped_fences(spark: SparkSession, folder: str) -> DataFrame:
     """Quartiles and fences of every return flag and month of shipping, exact."""
     found = quantiles.grouped_fences(_by_month(spark, folder), ["l_returnflag", "month"], PRICES)
     return found.select(
-        "l_returnflag", "month", "column", "n", *[(F.round(c, 4) + 0.0).alias(c) for c in ("q1", "q3", "lower", "upper")]
+        "l_returnflag", "month", "column", "n", *[(F.round(c, 6) + 0.0).alias(c) for c in ("q1", "q3", "lower", "upper")]
     )
 
 
@@ -373,8 +373,8 @@ GROUPED_FENCES_SQL = " UNION ALL ".join(
     for c in PRICES
 )
 ORACLES["grouped_fences"] = f"""
-SELECT l_returnflag, month, "column", n, round(q1, 4) AS q1, round(q3, 4) AS q3,
-       round(q1 - 1.5 * (q3 - q1), 4) + 0.0 AS lower, round(q3 + 1.5 * (q3 - q1), 4) + 0.0 AS upper
+SELECT l_returnflag, month, "column", n, round(q1, 6) AS q1, round(q3, 6) AS q3,
+       round(q1 - 1.5 * (q3 - q1), 6) + 0.0 AS lower, round(q3 + 1.5 * (q3 - q1), 6) + 0.0 AS upper
 FROM ({GROUPED_FENCES_SQL})
 """
 
