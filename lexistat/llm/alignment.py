@@ -1,9 +1,11 @@
 """Aligning the tokens of two vocabularies by white-space anchors.
 
-Every text is tokenized whole in both ways. Where tokens of both end at the same byte and both next tokens
-begin with a space, the text is cut: what lies between two such anchors is a window, a few ids on either
-side. Texts repeat windows, so the alignment of a window (its groups, its links) is worked out once for
-its two tuples of ids and looked up from then on.
+Where tokens of both vocabularies end at the same byte and both next tokens begin with a space, a text is cut: what
+lies between two such anchors is a window, a few ids on either side. Texts repeat windows, so the
+alignment of a window (its groups, its links) is worked out once for its two tuples of ids and looked up from then
+on, by the ids or by the word that gave them. A window learned from a word is one whose ids are those of
+the whole text, whose bytes are the word's and whose first tokens both begin with the space before it; a
+text with any other word is tokenized as a whole and cut at the anchors that its tokens show.
 
 How often two ids are linked is counted over all documents. Documents keep their linked pairs with
 counts; those are added per task before they are shuffled, and come back to the documents as one
@@ -13,25 +15,24 @@ table, in memory where its size is proven and by a join beyond that.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from lexistat.llm.chunks import PIECE_BPE, Pieces, Seen, batches, byte_level_bytes
+from lexistat.llm.chunks import PIECE_BPE, Pieces
 from lexistat.llm.shipping import ship
-from lexistat.llm.tokens import BYTE_BPE
+from lexistat.llm.tokens import BYTE_BPE, Encoder, Seen, batches, byte_level_bytes, joinable, portions, spaced
 from lexistat.session import stage
 
-KEPT_WINDOWS = 150_000
+KEPT_WINDOWS = 200_000  # in each of two generations
 KEPT_PAIRS = 1_000_000
-# A table of up to this many pairs (12 bytes each) is sent to the tasks; a larger one is joined.
-SENT_PAIRS = 2_000_000
+# A table of up to this many pairs (17 bytes each) is sent to the tasks; a larger one is joined.
+SENT_PAIRS = 4_000_000
 _A_BITS = 32
 
 _TEXTS = (
@@ -39,162 +40,156 @@ _TEXTS = (
     "pairs array<long>, times array<int>"
 )
 _RESULT = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+_BETWEEN = (",", "|", ";", "\n")  # ids of one side, the sides of a group, groups, windows
 
 
-def pair_key(a: int, b: int) -> int:
-    return b << _A_BITS | a
+# Two runs of ids over the same bytes, as 32-bit integers.
+Ids = tuple[bytes, bytes]
+# Their alignment: the groups as in a1,a2|b1;a3|b2, the number of ids of the first run, and the keys of the linked
+# pairs as 64-bit integers, one per overlap.
+Window = tuple[str, int, bytes]
 
 
-class Window(NamedTuple):
-    """The alignment of two runs of ids over the same bytes."""
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
 
-    text: str  # groups as in a1,a2|b1;a3|b2
-    groups: int
-    links: list[int]  # keys of the linked pairs, one per overlap
 
-
-def align(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]) -> Window:
-    """Both runs cover the same bytes; ``ends_*`` are the places where their tokens end."""
-    groups, links = [], []
-    i = j = first_i = first_j = 0
-    while i < len(a) and j < len(b):
-        links.append(pair_key(a[i], b[j]))
-        end_a, end_b = ends_a[i], ends_b[j]
-        i += end_a <= end_b
-        j += end_b <= end_a
-        if end_a == end_b:
-            groups.append(f"{','.join(map(str, a[first_i:i]))}|{','.join(map(str, b[first_j:j]))}")
-            first_i, first_j = i, j
-    return Window(";".join(groups), len(groups), links)
-
-
-class Both:
-    """Ids of texts in both vocabularies."""
+class Aligner:
+    """Windows of texts in both vocabularies, a bounded number of them kept."""
 
     def __init__(self, path_a: str, path_b: str) -> None:
-        self.library = Tokenizer.from_file(path_a)
-        self.library.encode_special_tokens = True
-        vocabulary = self.library.get_vocab()
-        self.bytes = byte_level_bytes(vocabulary)
+        self.encoder = Encoder(path_a, True)
+        self.encoder.library.encode_special_tokens = True
         self.pieces = Pieces(path_b)
-        self.seen = Seen(self._learn)
-        self.size_a = np.array([len(x) for x in self.bytes])
-        self.size_b = np.array([len(x) for x in self.pieces.bytes])
-        self.marked_a = np.array([x[:1] == b" " for x in self.bytes])
-        self.marked_b = self.pieces.marked
+        self.bytes_a, self.bytes_b = byte_level_bytes(self.encoder.library.get_vocab()), self.pieces.bytes
+        self.size_a, self.size_b = (np.array([len(x) for x in e]) for e in (self.bytes_a, self.bytes_b))
+        self.marked_a, self.marked_b = np.array([x[:1] == b" " for x in self.bytes_a]), self.pieces.marked
+        most = max(len(self.bytes_a), len(self.bytes_b))
+        self.written = [f"{i}{sign}" for i in range(most) for sign in _BETWEEN]
+        self.by_ids: Seen[Window] = Seen(self.align, KEPT_WINDOWS // 8)
+        self.by_word: Seen[Window] = Seen(self._learn, KEPT_WINDOWS)
+
+    def _aligned(self, a: np.ndarray, b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> list[Window]:
+        """The alignments of many windows at once; both runs of each cover the same bytes."""
+        n_a, n_b = np.diff(cuts_a, prepend=0), np.diff(cuts_b, prepend=0)
+        ends_a, ends_b = self.size_a[a].cumsum(), self.size_b[b].cumsum()
+        of_a, of_b = (np.repeat(np.arange(len(n)), n) for n in (n_a, n_b))
+        # Between two neighbouring ends of either side one token of each overlap.
+        marks = np.zeros(int(ends_a[-1]) + 1, np.int8)
+        marks[ends_a] = 1
+        marks[ends_b] += 2
+        ends = np.flatnonzero(marks)
+        in_a, in_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        links = (b[in_b].astype(np.int64) << _A_BITS | a[in_a]).tobytes()
+        link_ends = 8 * np.bincount(of_a[in_a], minlength=len(n_a)).cumsum()
+        shared = np.flatnonzero(marks == 3)
+        group = np.concatenate([np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)])
+        side = np.repeat([0, 1], [len(a), len(b)])
+        order = np.argsort(2 * group + side, kind="stable")
+        group, side = group[order], side[order]
+        window = np.concatenate([of_a, of_b])[order]
+        sign = np.full(len(order), 3)
+        sign[:-1] = np.where(
+            window[1:] != window[:-1], 3, np.where(group[1:] != group[:-1], 2, np.where(side[1:] != side[:-1], 1, 0))
+        )
+        codes = (np.concatenate([a, b])[order].astype(np.int64) * len(_BETWEEN) + sign).tolist()
+        texts = "".join(map(self.written.__getitem__, codes)).split("\n")
+        ends = link_ends.tolist()
+        # The last text is what follows the end of the last window: nothing.
+        return [
+            (text, size, links[begin:end])
+            for text, size, begin, end in zip(texts[:-1], n_a.tolist(), [0, *ends[:-1]], ends, strict=True)
+        ]
+
+    def align(self, windows: list[Ids]) -> list[Window]:
+        """The alignments of windows by their ids."""
+        ids = (np.frombuffer(b"".join([w[side] for w in windows]), "<u4") for side in (0, 1))
+        return self._aligned(*ids, *(np.cumsum([len(w[side]) // 4 for w in windows]) for side in (0, 1)))
+
+    def _joined(self, words: list[str]) -> dict[str, Window]:
+        """The windows of words that are encoded as one text; none where one of them is not a window."""
+        of_a, of_b = self.encoder.joined.encode(words), self.pieces.joined(words)
+        if of_a is None or of_b is None:
+            return {}
+        (a, cuts_a), (b, cuts_b) = of_a, of_b
+        # Both next tokens of an anchor begin with a space.
+        begin_a, begin_b = (np.append(0, cuts[:-1]) for cuts in (cuts_a, cuts_b))
+        if not (self.marked_a[a[begin_a]].all() and self.marked_b[b[begin_b]].all()):
+            return {}
+        return dict(zip(words, self._aligned(a, b, cuts_a, cuts_b), strict=True))
+
+    def _learn(self, words: list[str]) -> Iterator[Window | None]:
+        """The windows of words with the space before each; None where there is no anchor or other bytes."""
+        known: dict[str, Window | None] = dict(self._joined([w for w in words if joinable(w)]))
+        rest = [w for w in words if w not in known]
+        ids = {}
+        for word, a, b in zip(rest, self._ids_a([" " + w for w in rest]), self.pieces.words(rest), strict=True):
+            if b and self.marked_a[a[0]] and self.marked_b[b[0]]:
+                ids[word] = (_packed(a), _packed(b))
+        (found,) = self.by_ids.values([[*ids.values()]])
+        known.update(zip(ids, found, strict=True))
+        return (known.get(word) for word in words)
 
     def _ids_a(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, chunks: list[str]) -> Iterator[tuple[bytes, bytes] | None]:
-        for chunk, a, b in zip(chunks, self._ids_a(chunks), self.pieces.chunks(chunks), strict=True):
-            same = b is not None and b"".join([self.bytes[i] for i in a]) == chunk.encode()
-            yield (np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes()) if same else None
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
-        """The ids of every text; None where a text is empty or one of its two joined bytes is not
-        a space and the text."""
-        for text, found in zip(texts, self.seen.values(texts), strict=True):
-            if not text:
-                yield None
-            elif found is not None:
-                yield tuple(np.frombuffer(b"".join(ids), "<u4") for ids in zip(*found, strict=True))
-            else:
-                (a,), (b,) = self._ids_a([" " + text]), self.pieces.whole([text])
-                wanted = (" " + text).encode()
-                same = wanted == b"".join([self.bytes[i] for i in a])
-                same = same and wanted == b"".join([self.pieces.bytes[i] for i in b])
-                yield (np.array(a, "<u4"), np.array(b, "<u4")) if same else None
-
-
-class Windows:
-    """Alignments of windows by their ids, a bounded number of them."""
-
-    def __init__(self, both: Both) -> None:
-        self.both = both
-        self.clear()
-
-    def clear(self) -> None:
-        self.number: dict[tuple[bytes, bytes], int] = {}
-        self.text: list[str] = []
-        self.groups: list[int] = []
-        self.links: list[int] = []
-        self.begin: list[int] = [0]
-
-    def of(self, a: bytes, b: bytes) -> int:
-        number = self.number.get((a, b))
-        if number is None:
-            ids_a, ids_b = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-            window = align(
-                ids_a.tolist(), ids_b.tolist(),
-                self.both.size_a[ids_a].cumsum().tolist(), self.both.size_b[ids_b].cumsum().tolist(),
-            )
-            number = self.number[a, b] = len(self.text)
-            self.text.append(window.text)
-            self.groups.append(window.groups)
-            self.links += window.links
-            self.begin.append(len(self.links))
-        return number
-
-
-def _windows(both: Both, windows: Windows, a: np.ndarray, b: np.ndarray) -> list[int]:
-    """The windows of one text, cut at its anchors."""
-    ends_a, ends_b = both.size_a[a].cumsum(), both.size_b[b].cumsum()
-    # A token's end is shared if the other side has a token that ends there, too.
-    shared_a = np.flatnonzero(ends_b[np.searchsorted(ends_b, ends_a)] == ends_a)
-    shared_b = np.searchsorted(ends_b, ends_a[shared_a])
-    anchor = both.marked_a[a[shared_a[:-1] + 1]] & both.marked_b[b[shared_b[:-1] + 1]]
-    cuts_a = [*(4 * (shared_a[:-1][anchor] + 1)).tolist(), 4 * len(a)]
-    cuts_b = [*(4 * (shared_b[:-1][anchor] + 1)).tolist(), 4 * len(b)]
-    bytes_a, bytes_b = a.tobytes(), b.tobytes()
-    of, from_a, from_b, found = windows.of, 0, 0, []
-    for to_a, to_b in zip(cuts_a, cuts_b, strict=True):
-        found.append(of(bytes_a[from_a:to_a], bytes_b[from_b:to_b]))
-        from_a, from_b = to_a, to_b
-    return found
-
-
-def _links(windows: Windows, found: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(text, pair, times)``: the linked pairs of every text, ascending, and how often they are linked."""
-    flat = np.array([w for some in found for w in some], np.int64)
-    text = np.repeat(np.arange(len(found)), [len(some) for some in found])
-    begin = np.array(windows.begin, np.int64)
-    size = (begin[1:] - begin[:-1])[flat]
-    first = begin[flat] - size.cumsum() + size
-    at = np.arange(size.sum()) + np.repeat(first, size)
-    keys, of = np.unique(np.array(windows.links, np.int64), return_inverse=True)
-    width = max(len(keys), 1)
-    both, times = np.unique(np.repeat(text, size) * width + of[at], return_counts=True)
-    return both // width, keys[both % width] if len(keys) else keys, times
+        return [x.ids for x in self.encoder.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _whole(self, text: str) -> list[Window]:
+        """The windows of a text that is tokenized as a whole, none where its bytes are not given back."""
+        (ids_a,), (ids_b,) = self._ids_a([" " + text]), self.pieces.whole([text])
+        wanted = (" " + text).encode()
+        for ids, entries in ((ids_a, self.bytes_a), (ids_b, self.bytes_b)):
+            if b"".join([entries[i] for i in ids]) != wanted:
+                return []
+        a, b = np.array(ids_a), np.array(ids_b)
+        ends_a, ends_b = self.size_a[a].cumsum(), self.size_b[b].cumsum()
+        shared = np.intersect1d(ends_a, ends_b)
+        at_a, at_b = np.searchsorted(ends_a, shared) + 1, np.searchsorted(ends_b, shared) + 1
+        anchor = self.marked_a[a[at_a[:-1]]] & self.marked_b[b[at_b[:-1]]]
+        cuts_a = [0, *at_a[:-1][anchor].tolist(), len(a)]
+        cuts_b = [0, *at_b[:-1][anchor].tolist(), len(b)]
+        windows = [
+            (_packed(ids_a[i:j]), _packed(ids_b[k:m]))
+            for i, j, k, m in zip(cuts_a[:-1], cuts_a[1:], cuts_b[:-1], cuts_b[1:], strict=True)
+        ]
+        (found,) = self.by_ids.values([windows])
+        return found
+
+    def windows(self, texts: list[str]) -> Iterator[list[Window]]:
+        """The windows of every text; none where it is empty or has no tokens."""
+        parts = [(place, part) for place, text in enumerate(texts) if text for part in portions(text)]
+        found: list[list[Window] | None] = [[] for _ in texts]
+        values = self.by_word.values([spaced(part) for _, part in parts])
+        for (place, part), some in zip(parts, values, strict=True):
+            some = self._whole(part) if some is None else some
+            # One part that is not given back is a text that is not.
+            found[place] = found[place] + some if some and found[place] is not None else None
+        return (some or [] for some in found)
 
 
 @cache
-def _tools(path_a: str, path_b: str) -> tuple[Both, Windows]:
-    both = Both(path_a, path_b)
-    return both, Windows(both)
+def _aligner(path_a: str, path_b: str) -> Aligner:
+    return Aligner(path_a, path_b)
 
 
 def _aligned(texts: list[str], path_a: str, path_b: str) -> list[pa.Array]:
     """The columns of ``_TEXTS`` behind the id."""
-    both, windows = _tools(path_a, path_b)
-    if len(windows.text) > KEPT_WINDOWS:
-        windows.clear()
-    n_a, n_b, found = [], [], []
-    for ids in both.encode(texts):
-        n_a.append(0 if ids is None else len(ids[0]))
-        n_b.append(0 if ids is None else len(ids[1]))
-        found.append([] if ids is None else _windows(both, windows, *ids))
-    text, pairs, times = _links(windows, found)
-    offsets = np.concatenate([[0], np.bincount(text, minlength=len(found)).cumsum()]).astype(np.int32)
-    links = np.bincount(text, times, len(found)).astype(np.int64)
-    groups = [sum(map(windows.groups.__getitem__, some)) for some in found]
-    joined = (";".join(map(windows.text.__getitem__, some)) for some in found)
-    digest = [hashlib.sha256(text.encode()).hexdigest() if text else "" for text in joined]
+    n_a, n_b, groups, links, digest, pairs, times = ([] for _ in range(7))
+    for found in _aligner(path_a, path_b).windows(texts):
+        text = ";".join([w[0] for w in found])
+        keys, often = np.unique(np.frombuffer(b"".join([w[2] for w in found]), np.int64), return_counts=True)
+        n_a.append(sum([w[1] for w in found]))
+        groups.append(text.count("|"))
+        links.append(int(often.sum()))
+        # A group of i and j ids has i + j - 1 links.
+        n_b.append(links[-1] + groups[-1] - n_a[-1])
+        digest.append(hashlib.sha256(text.encode()).hexdigest() if text else "")
+        pairs.append(keys)
+        times.append(often)
+    offsets = np.cumsum([0, *map(len, pairs)]).astype(np.int32)
     return [
-        pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()), pa.array(groups, pa.int64()),
-        pa.array(links), pa.array(digest, pa.string()),
-        pa.ListArray.from_arrays(offsets, pa.array(pairs, pa.int64())),
-        pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32())),
+        *(pa.array(x, pa.int64()) for x in (n_a, n_b, groups, links)), pa.array(digest, pa.string()),
+        pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(pairs), pa.int64())),
+        pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(times), pa.int32())),
     ]
 
 
@@ -206,7 +201,7 @@ def texts_aligned(docs: DataFrame, path_a: str = BYTE_BPE, path_b: str = PIECE_B
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows:
             ids, at = row.column("doc_id"), 0
-            for some in batches(row.column("text").to_pylist()):
+            for some in batches(text or "" for text in row.column("text").to_pylist()):
                 columns = _aligned(some, path_a, path_b)
                 yield pa.RecordBatch.from_arrays([ids.slice(at, len(some)), *columns], names)
                 at += len(some)

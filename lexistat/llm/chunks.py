@@ -1,98 +1,26 @@
-"""Cutting texts at white space where no token of a vocabulary can reach across.
-
-A space is put before the text, as both kinds of vocabulary want it. A chunk is a run of spaces and line
-ends with the run of other characters behind it, so that equal words are equal chunks in every text.
-What a chunk gives is kept by the worker; new chunks go to the library in batches.
-"""
+"""Sentencepiece vocabularies word by word, and the bytes that tokens stand for."""
 
 from __future__ import annotations
 
-import os
 import re
-from collections.abc import Callable, Iterable, Iterator
-
-os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-
-import numpy as np  # noqa: E402
-import public_tokenizers  # noqa: E402
-from sentencepiece import SentencePieceProcessor  # noqa: E402
+import numpy as np
+import public_tokenizers
+from sentencepiece import SentencePieceProcessor
 
-from lexistat.llm.tokens import _byte_letters  # noqa: E402
+from lexistat.llm.tokens import cuts_of
 
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "\u2581"
-
-KEPT_CHUNKS = 200_000  # in each of two generations
-BATCH_CHARS = 1 << 20
-
-# White space other than space and line end, in any of the libraries' tables: such texts stay whole.
-_unusual = re.compile(
-    r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f-\u2064\u3000\ufeff]"
-).search
-_chunks = re.compile(r"[ \n]*[^ \n]+|[ \n]+").findall
+# Characters that normal forms would compose or replace.
+_PROBE = "e\u0301 \ufb01 \uff21 \u00bd  x"
 
 
-def cut(text: str) -> list[str] | None:
-    """The chunks of a space and ``text``; None where it cannot be cut safely."""
-    return None if _unusual(text) else _chunks(" " + text)
-
-
-class Seen[T]:
-    """What ``learn`` gives for chunks, kept in two generations of bounded size.
+class Pieces:
+    """Ids of words and of texts, and the bytes of every id.
 
-    ``learn`` returns None for a chunk whose value cannot be trusted outside its text.
+    The library puts a space before what it encodes, so a word is encoded with the space in front of it.
     """
 
-    def __init__(self, learn: Callable[[list[str]], Iterable[T | None]]) -> None:
-        self.learn = learn
-        self.young: dict[str, T | None] = {}
-        self.old: dict[str, T | None] = {}
-
-    def _need(self, chunks: set[str]) -> None:
-        missing = chunks - self.young.keys()
-        if len(self.young) + len(missing) > KEPT_CHUNKS:
-            self.old, self.young, missing = self.young, {}, chunks
-        carried = missing & self.old.keys()
-        self.young.update({c: self.old[c] for c in carried})
-        fresh = list(missing - carried)
-        for at in range(0, len(fresh), 4096):
-            some = fresh[at : at + 4096]
-            self.young.update(zip(some, self.learn(some), strict=True))
-
-    def values(self, texts: list[str]) -> Iterator[list[T] | None]:
-        """The values of every text's chunks in order; None for a text that must stay whole."""
-        cuts = [cut(text) for text in texts]
-        needed = set().union(*[c for c in cuts if c is not None])
-        # More chunks than a generation holds can only come from few texts; they are done one by one.
-        if len(needed) > KEPT_CHUNKS and len(texts) > 1:
-            half = len(texts) // 2
-            yield from self.values(texts[:half])
-            yield from self.values(texts[half:])
-            return
-        self._need(needed)
-        get = self.young.__getitem__
-        for chunks in cuts:
-            found = None if chunks is None else [*map(get, chunks)]
-            yield None if found is None or None in found else found
-
-
-def batches(texts: Iterable[str | None]) -> Iterator[list[str]]:
-    """Texts, null as empty, in lists of about BATCH_CHARS characters."""
-    some: list[str] = []
-    size = 0
-    for text in texts:
-        some.append(text or "")
-        size += len(some[-1])
-        if size >= BATCH_CHARS:
-            yield some
-            some, size = [], 0
-    if some:
-        yield some
-
-
-class Pieces:
-    """A sentencepiece vocabulary: ids of chunks and of texts, and the bytes of every id."""
-
     def __init__(self, path: str) -> None:
         self.library = SentencePieceProcessor(model_file=path)
         size = self.library.get_piece_size()
@@ -103,29 +31,39 @@ class Pieces:
             for name, byte in zip(names, single, strict=True)
         ]
         self.marked = np.array([name[:1] == SPACE for name in names])
-        self.space = self.library.piece_to_id(SPACE)
-        # No token may hold the end of one chunk and the beginning of the next, nor a line end.
-        across = re.compile(f"[^{SPACE}]{SPACE}|\n").search
-        self.cuts = not any(across(name) for name, byte in zip(names, single, strict=True) if not byte)
+        normal = [name for name, byte in zip(names, single, strict=True) if not byte]
+        # No token may hold the end of one word and the space before the next, and the library must leave
+        # characters as they are.
+        across = re.compile(f"[^{SPACE}]{SPACE}").search
+        kept = b"".join([self.bytes[i] for i in self.library.encode(_PROBE)]) == f" {_PROBE}".encode()
+        self.cuts = kept and not any(map(across, normal))
+        self.sizes = np.array([*map(len, self.bytes)])
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return self.library.encode(texts, num_threads=1)
 
-    def chunks(self, chunks: list[str]) -> Iterator[list[int] | None]:
-        """Ids of each chunk. The library puts a space before what it is given, so that of the chunk
-        is taken off, or that of the library where the chunk begins with a line end."""
-        given = [c[1:] if c[0] == " " else c for c in chunks]
-        for chunk, ids in zip(chunks, self.whole(given), strict=True):
-            if chunk[0] != " ":
-                ids = ids[1:] if ids[:1] == [self.space] else []
-            known = self.cuts and b"".join([self.bytes[i] for i in ids]) == chunk.encode()
-            yield ids if known else None
-
-
-def byte_level_bytes(vocabulary: dict[str, int]) -> list[bytes]:
-    """The bytes that each entry of a byte-level vocabulary stands for, by id."""
-    back = {chr(letter): byte for byte, letter in _byte_letters().items()}
-    entries = [b""] * (max(vocabulary.values()) + 1)
-    for name, number in vocabulary.items():
-        entries[number] = bytes([back[c] for c in name]) if all(c in back for c in name) else name.encode()
-    return entries
+    def _gives_back(self, ids: list[int], text: str) -> bool:
+        entries = self.bytes
+        return b"".join([entries[i] for i in ids]) == text.encode()
+
+    def joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of words that are encoded as one text, a space before each, and where each word's end.
+
+        None where the bytes of the ids are not those of the text.
+        """
+        if not words or not self.cuts:
+            return None
+        text = " ".join(words)
+        (ids,) = self.whole([text])
+        if not self._gives_back(ids, " " + text):
+            return None
+        found = np.array(ids, dtype="<u4")
+        cuts = cuts_of(found, self.sizes, np.array([len(w.encode()) + 1 for w in words]))
+        return None if cuts is None else (found, cuts)
+
+    def words(self, words: list[str]) -> list[list[int] | None]:
+        """Ids of each word; None where their bytes are not a space and the word."""
+        return [
+            ids if self.cuts and self._gives_back(ids, " " + word) else None
+            for word, ids in zip(words, self.whole(words), strict=True)
+        ]

@@ -2,10 +2,11 @@
 
 Documents are tokenized where they lie. A document longer than a sequence is cut from its end into
 full pieces, so that only the first can be shorter; full pieces are sequences of their own. The other pieces
-are dealt over the partitions by a hash, and every partition packs its own as they come, the longest
-first: a piece goes into the open sequence that it fills best, found in a bitset with one bit
-per amount of free space. A fixed number of sequences is open; when one more is needed, the fullest
-closes. What a partition holds is that number of sequences, whatever it reads.
+are dealt over the partitions by a hash, and every partition packs its own online, in the order of their
+hashes, which tells nothing of their lengths and is the same in every run: a piece goes into the open
+sequence that it fills best, found in a bitset with one bit per amount of free space. A fixed
+number of sequences is open; when one more is needed, the fullest closes. What a partition holds is
+that number of sequences, whatever it reads.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from lexistat.llm.words import parts_for
 from lexistat.session import stage
 
 SEQUENCE = 1024
-OPEN = 65_536
+OPEN = 256
 PIECES_PER_PART = 50_000
 _PART_BITS = 33
 
@@ -39,7 +40,7 @@ class OpenSequences:
         self.sequence, self.most = sequence, most
         self.by_free: list[list[int]] = [[] for _ in range(sequence + 1)]
         self.free = 0
-        self.open = self.made = 0
+        self.open = self.made = self.closed = 0  # closed: those that something was left free in
 
     def _take(self, free: int) -> int:
         stack = self.by_free[free]
@@ -58,6 +59,7 @@ class OpenSequences:
             if self.open == self.most:
                 self._take((self.free & -self.free).bit_length() - 1)
                 self.open -= 1
+                self.closed += 1
             number, free = self.made, self.sequence
             self.made += 1
             self.open += 1
@@ -104,6 +106,14 @@ def pieces(docs: DataFrame, path: str = BYTE_BPE, sequence: int = SEQUENCE) -> D
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES)
 
 
+def filled(packed: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
+    """``(sequences, tokens, fill)`` of packed pieces: one row, ``fill`` from 0 to 1."""
+    sums = packed.groupBy("sequence_id").agg(F.sum("length").alias("held"))
+    return sums.agg(F.count("*").alias("sequences"), F.sum("held").alias("tokens")).withColumn(
+        "fill", F.col("tokens") / (F.col("sequences") * sequence)
+    )
+
+
 def pack(
     docs: DataFrame, path: str = BYTE_BPE, sequence: int = SEQUENCE, most_open: int = OPEN,
     per_part: int = PIECES_PER_PART,
@@ -120,9 +130,8 @@ def pack(
     )
     short = every.filter(F.col("length") < sequence)
     parts = parts_for(short, short.count(), per_part)
-    dealt = short.repartition(
-        parts, F.xxhash64("doc_id", "start", "ids_crc32")
-    ).sortWithinPartitions(F.desc("length"), "doc_id", "start")
+    chance = F.xxhash64("doc_id", "start", "ids_crc32")
+    dealt = short.repartition(parts, chance).sortWithinPartitions(chance, "doc_id", "start")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() << _PART_BITS

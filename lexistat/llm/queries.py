@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +22,7 @@ from lexistat.llm import (
     tokencounts,
     toxicity,
 )
-from lexistat.session import shared_folder
+from lexistat.session import own_folder
 from lexistat.sources.tables import table
 
 
@@ -49,7 +48,7 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    files = f"{shared_folder(spark)}/tokens/{uuid.uuid4().hex}"
+    files = f"{own_folder(spark, 'tokens')}/files"
     binary.write(table(spark, folder, "documents"), files)
     return binary.read(spark, files)
 
@@ -83,8 +82,7 @@ def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
 
 def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Every call begins with an empty cache, so that it counts the whole table."""
-    cache = f"{shared_folder(spark)}/token-counts/{uuid.uuid4().hex}"
-    return tokencounts.count_tokens(table(spark, folder, "documents"), cache)
+    return tokencounts.count_tokens(table(spark, folder, "documents"), own_folder(spark, "token-counts"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -9,17 +9,20 @@ counts are then read from the cache. Entries that two runs append at once are eq
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 from importlib.metadata import version
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from lexistat.llm.chunks import PIECE_BPE, Pieces, Seen, batches
+from lexistat.llm.chunks import PIECE_BPE, Pieces
 from lexistat.llm.shipping import ship
+from lexistat.llm.tokens import Seen, batches, joinable, portions, spaced
 from lexistat.llm.words import whole_text
 from lexistat.session import stage
 
@@ -42,13 +45,20 @@ def text_digest(text: Column) -> Column:
 @cache
 def _piece_counter(path: str) -> tuple[Pieces, Seen[int]]:
     pieces = Pieces(path)
-    return pieces, Seen(lambda chunks: [None if ids is None else len(ids) for ids in pieces.chunks(chunks)])
 
+    def learn(words: list[str]) -> Iterable[int | None]:
+        plain = [w for w in words if joinable(w)]
+        joined = pieces.joined(plain)
+        known = dict(zip(plain, np.diff(joined[1], prepend=0).tolist(), strict=True)) if joined else {}
+        rest = [w for w in words if w not in known]
+        known.update((w, None if ids is None else len(ids)) for w, ids in zip(rest, pieces.words(rest), strict=True))
+        return map(known.__getitem__, words)
+
+    return pieces, Seen(learn)
 
-@cache
-def _library(path: str):
-    from tokenizers import Tokenizer
 
+@cache
+def _library(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
@@ -57,12 +67,14 @@ def counts(texts: list[str], path: str = PIECE_BPE) -> list[int]:
     if path.endswith(".json"):
         return [len(x.ids) for x in _library(path).encode_batch_fast(texts, add_special_tokens=False)]
     pieces, seen = _piece_counter(path)
-    filled = [text for text in texts if text]
-    found = [None if parts is None else sum(parts) for parts in seen.values(filled)]
-    whole = pieces.whole([t for t, n in zip(filled, found, strict=True) if n is None])
-    rest = map(len, whole)
-    known = iter([next(rest) if n is None else n for n in found])
-    return [next(known) if text else 0 for text in texts]
+    # The parts of a very long text are counted one by one and added up.
+    parts = [(place, part) for place, text in enumerate(texts) if text for part in portions(text)]
+    total = [0] * len(texts)
+    for some in batches(part for _, part in parts):
+        here, parts = parts[: len(some)], parts[len(some) :]
+        for (place, part), found in zip(here, seen.values([spaced(part) for part in some]), strict=True):
+            total[place] += len(pieces.whole([part])[0]) if found is None else sum(found)
+    return total
 
 
 def read_cache(spark: SparkSession, folder: str, tokenizer: str) -> DataFrame:
@@ -91,9 +103,7 @@ def _append_missing(texts: DataFrame, keyed: DataFrame, folder: str, path: str)
 
     def encode(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows:
-            found = []
-            for some in batches(row.column("text").to_pylist()):
-                found += counts(some, path)
+            found = counts(row.column("text").to_pylist(), path)
             yield pa.RecordBatch.from_arrays(
                 [row.column("digest"), pa.array(found, pa.int64())], ["digest", "n_tokens"]
             )
@@ -115,7 +125,9 @@ def count_tokens(
     content = docs.select("doc_id", whole_text(text).alias("text")).withColumn("digest", text_digest(F.col("text")))
     keyed = stage(content.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes")), "keyed")
     _append_missing(content.select("digest", "text"), keyed, folder, path)
+    # One row per different text, written: a text found everywhere is then a key that the planner can split.
     stored = read_cache(docs.sparkSession, folder, tokenizer_digest(path))
-    return keyed.join(stored, "digest").select(
+    found = stage(keyed.select("digest").distinct().join(stored, "digest"), "counts")
+    return keyed.join(found, "digest").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )

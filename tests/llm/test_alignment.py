@@ -9,9 +9,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from lexistat.llm import alignment, chunks
-from lexistat.llm.chunks import PIECE_BPE, byte_level_bytes
-from lexistat.llm.tokens import BYTE_BPE
+from lexistat.llm import alignment, tokens
+from lexistat.llm.chunks import PIECE_BPE
+from lexistat.llm.tokens import BYTE_BPE, byte_level_bytes
 
 LETTERS = st.one_of(
     st.sampled_from("abstre'lvmdABS 019 \n\t\r.,\"!_-<|>'' ▁\xa0é"), st.characters(blacklist_categories=("Cs",))
@@ -87,27 +87,51 @@ def test_alignment_is_that_of_all_overlaps(documents, libraries, sent):
     assert got[11] == (0, 0, 0, 0, 0, 0, "") and got[5][0] == 0
 
 
+def ids_of(windows):
+    """The ids on both sides, out of the written groups."""
+    groups = [g.split("|") for w in windows for g in w[0].split(";")]
+    return [[int(i) for g in groups for i in g[side].split(",")] for side in (0, 1)]
+
+
 @settings(max_examples=400, deadline=None)
 @given(texts=st.lists(st.text(alphabet=LETTERS, max_size=30), min_size=1, max_size=3))
-def test_chunks_give_the_ids_of_whole_texts(libraries, texts):
+def test_words_give_the_ids_of_whole_texts(libraries, texts):
     a_lib, b_lib = libraries
-    both, _ = alignment._tools(BYTE_BPE, PIECE_BPE)
-    for text, ids in zip(texts, both.encode(texts), strict=True):
-        if ids is not None:
-            assert ids[0].tolist() == a_lib.encode(" " + text, add_special_tokens=False).ids
-            assert ids[1].tolist() == b_lib.encode(text)
+    for text, windows in zip(texts, alignment._aligner(BYTE_BPE, PIECE_BPE).windows(texts), strict=True):
+        if windows:
+            assert ids_of(windows) == [a_lib.encode(" " + text, add_special_tokens=False).ids, b_lib.encode(text)]
+
+
+def test_anchors_cut_before_space_marked_tokens_of_both(libraries):
+    """Windows of words are those that the tokens of the whole text show."""
+    aligner = alignment.Aligner(BYTE_BPE, PIECE_BPE)
+    text = "One two,three four\nfive six hyper-parameter 12 34."
+    (by_word,) = aligner.windows([text])
+    assert by_word == aligner._whole(text)
+    for window in by_word:
+        for ids, marked in zip(ids_of([window]), (aligner.marked_a, aligner.marked_b), strict=True):
+            assert marked[ids[0]]
+    known = len(aligner.by_word.young)
+    [*aligner.windows([text, text + " two,three four\nfive"])]
+    assert len(aligner.by_word.young) == known
 
 
 def test_few_windows_and_pairs_are_kept(documents, libraries, monkeypatch):
     monkeypatch.setattr(alignment, "KEPT_WINDOWS", 3)
-    monkeypatch.setattr(alignment, "KEPT_PAIRS", 5)
-    monkeypatch.setattr(chunks, "KEPT_CHUNKS", 4)
-    monkeypatch.setattr(chunks, "BATCH_CHARS", 20)
-    texts = [t or "" for t in TEXTS]
-    both = alignment.Both(BYTE_BPE, PIECE_BPE)
-    for text, ids in zip(texts, both.encode(texts), strict=True):
-        if ids is not None:
-            assert ids[1].tolist() == libraries[1].encode(text)
+    monkeypatch.setattr(tokens, "LONG_TEXT", 40)
+    aligner = alignment.Aligner(BYTE_BPE, PIECE_BPE)
+    texts = [t or "" for t in TEXTS] + ["one two three " * 20 + "x\u2581y " + "one two " * 9]
+    rows = brute(libraries, texts)
+    for row, windows in zip(rows, aligner.windows(texts), strict=True):
+        assert row[:3] == (*map(len, ids_of(windows)), sum(w[0].count("|") for w in windows))
+    assert len(aligner.by_word.young) <= 3 + 70 and rows[-1][0] == 0
+
+
+def test_pairs_are_added_in_bounded_parts(documents, libraries, monkeypatch):
+    docs = documents(list(enumerate(TEXTS)))
+    whole = sorted(map(tuple, alignment.pair_counts(alignment.texts_aligned(docs)).collect()))
+    monkeypatch.setattr(alignment, "KEPT_PAIRS", 2)
+    assert sorted(map(tuple, alignment.pair_counts(alignment.texts_aligned(docs)).collect())) == whole
 
 
 def test_awkward_rows(documents, awkward, libraries):

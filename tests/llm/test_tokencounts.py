@@ -4,7 +4,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lexistat.llm import chunks, tokencounts
+from lexistat.llm import chunks, tokencounts, tokens
 from lexistat.llm.tokens import BYTE_BPE
 from lexistat.session import shared_folder
 
@@ -26,12 +26,13 @@ def test_every_character_counts_as_in_the_library():
     assert tokencounts.counts(texts) == [len(ids) for ids in LIBRARY.encode(texts)]
 
 
-def test_small_generations(monkeypatch):
-    monkeypatch.setattr(chunks, "KEPT_CHUNKS", 3)
-    texts = ["one two three four five six", "one seven two\neight", "nine ten one two"] * 2
-    pieces = chunks.Pieces(chunks.PIECE_BPE)
-    seen = chunks.Seen(lambda some: [None if ids is None else len(ids) for ids in pieces.chunks(some)])
-    assert [sum(v) for v in seen.values(texts)] == [len(ids) for ids in LIBRARY.encode(texts)]
+def test_small_generations_and_long_texts(monkeypatch):
+    monkeypatch.setattr(tokens, "LONG_TEXT", 20)
+    texts = ["one two three four five six " * 5, "one seven two\neight", "", "nine ten one two  three\u2581 " * 4] * 2
+    pieces, _ = tokencounts._piece_counter(chunks.PIECE_BPE)
+    seen = tokens.Seen(lambda some: [None if ids is None else len(ids) for ids in pieces.words(some)], 3)
+    monkeypatch.setattr(tokencounts, "_piece_counter", lambda path: (pieces, seen))
+    assert tokencounts.counts(texts) == [len(ids) for ids in LIBRARY.encode(texts)]
 
 
 def expected(rows, limit=4096):

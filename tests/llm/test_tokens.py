@@ -1,7 +1,9 @@
+import json
 import random
 import zlib
 from array import array
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 from hypothesis import given, settings
@@ -68,6 +70,40 @@ def test_packing_is_whole_and_gapless(documents):
     assert packing.pack(documents([])).collect() == []
 
 
+def test_the_bound_of_open_sequences_is_reached(spark):
+    """On the pieces of a table, sequences close before they are full, and yet little is left free."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lengths = [r["length"] for r in packing.pieces(docs).filter("length < 1024").orderBy("ids_crc32").collect()]
+    sequences = packing.OpenSequences(packing.SEQUENCE, packing.OPEN)
+    for n in lengths:
+        sequences.place(n)
+    assert sequences.closed > 0
+    row = packing.filled(packing.pack(docs)).first()
+    assert 0.9 < row["fill"] <= 1
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_every_character_below_the_astral_planes(kind):
+    """Alone, between letters and before a mark, as the library has it."""
+    letters = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+    encoder = tokens.encoder(*kind)
+    texts = [t for c in letters for t in (f"a{c}b {c}", f"x {c}. y{c}, {c}{c}\n{c}")]
+    found = encoder.library.encode_batch_fast(texts, add_special_tokens=False)
+    assert [*encoder.encode(texts)] == [array("I", x.ids).tobytes() for x in found]
+
+
+def test_an_unknown_vocabulary_is_not_cut(tmp_path):
+    """Where the file does not say how words are cut, the library gets whole texts."""
+    file = json.loads(Path(tokens.BYTE_BPE).read_text())
+    file["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(file))
+    encoder = tokens.Encoder(str(path), True)
+    texts = ["one two  three", "a b, c", ""]
+    assert not encoder.cuts
+    assert [*encoder.encode(texts)] == [ids(str(path), True, t)[:-1].tobytes() for t in texts]
+
+
 def test_the_fullest_sequence_closes_first():
     sequences = packing.OpenSequences(10, 2)
     assert [sequences.place(n) for n in (6, 7, 8)] == [(0, 0), (1, 0), (2, 0)]  # 7 closes for 8
