@@ -73,7 +73,9 @@ def write(docs: DataFrame, folder: str, path: str = WORD_BPE, parts: int | None
     """Write the ids of every text and its end id to ``folder``, in ascending order of ``doc_id``.
 
     The documents are sorted over the partitions by ranges of their ids and tokenized there; every
-    partition writes its own numbered part. Null ids come first; rows of equal id follow each other.
+    partition writes its own numbered part. Null ids come first; rows of equal id follow each other in the
+    order of their texts' hashes, so that neither one id nor null is tied to one task, and equal rows alone may
+    change places.
     """
     ship(docs.sparkSession)
 
@@ -98,8 +100,10 @@ def write(docs: DataFrame, folder: str, path: str = WORD_BPE, parts: int | None
 
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange(parts or usual_parts(docs.sparkSession), "doc_id")
-        .sortWithinPartitions("doc_id")
+        .withColumn("tie", F.xxhash64("text"))
+        .repartitionByRange(parts or usual_parts(docs.sparkSession), "doc_id", "tie")
+        .sortWithinPartitions("doc_id", "tie")
+        .drop("tie")
     )
     ordered.mapInArrow(code, SEGMENTS).write.mode("overwrite").option("compression", "uncompressed").parquet(folder)
 
