@@ -3,7 +3,10 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from lexistat.llm import chosenpath
+from lexistat.llm import components as graph
 from lexistat.llm.components import components
 
 
@@ -72,3 +75,19 @@ def test_awkward_rows(awkward, documents):
     kept = chosenpath.one_of_each(awkward)
     assert kept.columns == awkward.columns and 6 not in {r["doc_id"] for r in kept.collect()}
     assert chosenpath.linked(documents([])).collect() == []
+
+
+@pytest.mark.parametrize("shape", ["ascending", "alternating", "star"])
+def test_components_in_few_rounds(spark, monkeypatch, shape):
+    """A path of 10,000 edges, and shapes of few minima or many, in at most 20 written rounds of pointers."""
+    n, ids = 10_000, F.col("id")
+    far = {"ascending": ids + 1, "alternating": F.lit(2 * n) - ids, "star": F.lit(3 * n)}[shape]
+    near = {"ascending": ids, "alternating": ids, "star": ids}[shape]
+    edges = spark.range(n).select(near.alias("a"), far.alias("b"))
+    if shape == "alternating":
+        edges = edges.union(spark.range(n - 1).select((ids + 1).alias("a"), (F.lit(2 * n) - ids).alias("b")))
+    names, written = [], graph.stage
+    monkeypatch.setattr(graph, "stage", lambda df, name: (names.append(name), written(df, name))[1])
+    labels = graph.components(edges)
+    assert labels.agg(F.max("label"), F.count("*")).first()[0] == 0
+    assert names.count("roots") <= 20 and names.count("nearest") <= 3
