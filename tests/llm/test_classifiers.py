@@ -32,35 +32,75 @@ def test_bradley_terry_orders_pairs():
     assert quality.cut(np.array([3.0, 1.0, 2.0, 9.0]), np.ones(4), 0.5) == 2.5
 
 
-def neutral(documents, spark, penalty):
+def biased(documents, spark):
     """Group names occur in toxic texts more often than in clean ones; abuse is what makes them toxic."""
     chance = random.Random(4)
     rows, labels = [], []
-    for i in range(600):
+    for i in range(900):
         toxic = i % 2
         text = [f"w{chance.randrange(20)}" for _ in range(8)]
-        if chance.random() < (0.6 if toxic else 0.1):
-            text.append("muslims")
+        if chance.random() < (0.7 if toxic else 0.05):
+            text.append("martians")
         if toxic and chance.random() < 0.7:
             text.append("vermin")
         rows.append((i, " ".join(text)))
         labels.append((i, 1, toxic))
-    before, toxicity.SWAP_PENALTY = toxicity.SWAP_PENALTY, penalty
-    try:
-        model = toxicity.fit(
-            documents(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), F.lit(True)
-        )
-    finally:
-        toxicity.SWAP_PENALTY = before
-    return model
-
-
-def test_swapped_names_weigh_less(documents, spark):
-    free, held = neutral(documents, spark, 0.0), neutral(documents, spark, 50.0)
-    text = toxicity.words("muslims w1 w2")
-    assert held.score(text) < free.score(text)
-    assert held.score(toxicity.words("vermin w1")) > 0.5
+    # Neutral mentions that carry no label.
+    rows += [(10_000 + i, f"martians w{i % 20} w{(7 * i) % 20}") for i in range(100)]
+    return documents(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_fewer_neutral_mentions_are_taken_for_abuse(documents, spark):
+    docs, labels = biased(documents, spark)
+    groups = spark.createDataFrame([(1, "Martians"), (1, "venusians"), (2, "x")], "family int, term string")
+
+    def wrong(penalty):
+        judged = toxicity.judge(docs, labels, identities=groups, penalty=penalty)
+        assert judged.filter("doc_id < 10000").join(labels, "doc_id").filter("toxic = predicted").count() > 600
+        return judged.filter("doc_id >= 10000").agg(F.sum("predicted")).first()[0]
+
+    assert wrong(0.0) > 50 and wrong(toxicity.SWAP_PENALTY) == 0
+
+
+def test_pairs_come_from_texts_without_any_mention_too(spark):
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels, F.lit(True))
+    assert model.n_pairs > 0
     assert toxicity.swapped({"women", "x"}) == {"men", "x"} and toxicity.swapped({"x"}) is None
+    groups = spark.createDataFrame([(1, "b"), (1, "A"), (2, None)], "family int, term string")
+    assert toxicity.families_in(groups) == [["a", "b"]] or toxicity.families_in(groups) == [["b", "a"]]
+
+
+def test_few_labels_still_rank(spark):
+    """At the smallest size scores differ between documents: no threshold empties the vocabulary."""
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    scores = toxicity.judge(docs, labels).select("score").distinct().count()
+    assert scores > 1
+
+
+def test_the_fit_is_the_least_penalised_loss():
+    """Gradient steps against a search over a grid, for one feature and one pair."""
+    x, y = np.array([[1.0], [1.0], [0.0], [0.0], [1.0], [0.0]]), np.array([1, 1, 0, 0, 0, 1.0])
+    changes = np.array([[1.0]])
+
+    def loss(w, b):
+        score = x[:, 0] * w + b
+        plain = np.logaddexp(0, score) - y * score
+        weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
+        return (weight * plain).sum() + 0.5 * toxicity.RIDGE * w * w + 0.3 * w * w
+
+    weights, bias = toxicity.descend(x, y, changes, 0.3)
+    best = min(((w, b) for w in np.linspace(-1, 1, 201) for b in np.linspace(-1, 1, 201)), key=lambda p: loss(*p))
+    assert abs(weights[0] - best[0]) < 0.011 and abs(bias - best[1]) < 0.011
+
+
+def test_repeated_rows_of_a_labelled_id_are_read_once(documents, spark):
+    rows = [(i, f"good text {i}" if i % 2 else f"bad vermin {i}") for i in range(40)] + [(0, "bad vermin 0")] * 500
+    labels = spark.createDataFrame([(i, i % 2, 1 - i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    once = toxicity.fit(documents(rows[:40]), labels, F.lit(True))
+    assert toxicity.fit(documents(rows), labels, F.lit(True)) == once
+    assert quality.fit(documents(rows), labels, F.lit(True)) == quality.fit(documents(rows[:40]), labels, F.lit(True))
 
 
 def test_awkward_rows(awkward, documents, spark):
