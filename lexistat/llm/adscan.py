@@ -99,10 +99,13 @@ def fitted(rows: DataFrame, count: int) -> tuple[np.ndarray, np.ndarray]:
     return turn, centroids(points @ turn, lists)
 
 
-def index(rows: DataFrame, turn: np.ndarray, centres: np.ndarray, block: int = BLOCK) -> DataFrame:
-    """``(list, piece, data)``: every vector in a block of its nearest centroid's list, staged.
+def index(
+    rows: DataFrame, turn: np.ndarray, centres: np.ndarray, block: int = BLOCK
+) -> tuple[DataFrame, np.ndarray]:
+    """``(list, piece, data)``, staged: every vector in a block of its nearest centroid's list; and the lists' sizes.
 
-    A long list is cut into pieces by a hash of the ids; there are at most ``MOST_LISTS`` lists to count.
+    A long list is cut into pieces by a hash of the ids. Sizes are numbers of different ids; there are at most
+    ``MOST_LISTS`` lists to count.
     """
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,25 +133,36 @@ def index(rows: DataFrame, turn: np.ndarray, centres: np.ndarray, block: int = B
             pa.schema([("list", pa.int32()), ("piece", pa.int32()), ("data", pa.binary())])
         )
 
-    return stage(
+    blocks = stage(
         pieced.groupBy("list", "piece").applyInArrow(gather, "list int, piece int, data binary"), "blocks"
     )
+    different = np.zeros(len(centres), dtype=np.int64)
+    for row in dealt.select("list", "vec_id").distinct().groupBy("list").count().collect():
+        different[row["list"]] = row["count"]
+    return blocks, different
+
+
+def probed(near: np.ndarray, sizes: np.ndarray, probes: int, k: int) -> np.ndarray:
+    """The nearest ``probes`` lists of a query, given all in order, and more until they hold ``k`` other ids."""
+    enough = np.searchsorted(np.cumsum(sizes[near]), k + 1) + 1
+    return near[: max(probes, int(enough))]
 
 
 def _one_dimension(rows: DataFrame, is_query: Column, k: int, count: int) -> DataFrame:
     turn, centres = fitted(rows, count)
-    blocks = index(rows, turn, centres)
+    blocks, sizes = index(rows, turn, centres)
     probes = min(len(centres), max(LEAST_PROBES, round(PROBES * len(centres))))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
                 turned = unit(vectors.matrix(batch.column("vector"))) @ turn
-                near = np.argpartition(-(turned @ centres.T), probes - 1, axis=1)[:, :probes]
-                at = pa.array(np.repeat(np.arange(len(batch)), probes))
+                order = np.argsort(-(turned @ centres.T), axis=1, kind="stable")
+                lists = [probed(near, sizes, probes, k) for near in order]
+                at = pa.array(np.repeat(np.arange(len(batch)), [len(some) for some in lists]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("vec_id").take(at), batch.column("vector").take(at),
-                     pa.array(near.ravel().astype(np.int32))],
+                     pa.array(np.concatenate(lists).astype(np.int32))],
                     ["vec_id", "vector", "list"],
                 )
 
@@ -191,8 +205,8 @@ def search(table: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
 
     Zero vectors take no part, nor do those that ``vectors.usable`` leaves out. Each dimension has an
     index of its own. Rows that share an id are never each other's candidates; a repeated query row is
-    answered once. Equal scores go by smaller id. A query gets fewer than ``k`` rows only where the lists
-    that it looks into hold fewer.
+    answered once. Equal scores go by smaller id. A query looks into more lists where its nearest hold
+    fewer than ``k`` other ids, so it gets ``k`` rows where there are as many.
     """
     spark = table.sparkSession
     ship(spark)

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,6 +64,33 @@ def test_cosine_recall_and_scores(spark):
     assert sum(r["score"] >= fifth[r["query_id"]] - 1e-9 for r in got) >= 0.9 * len(got)
 
 
+def test_recall_where_lists_are_skipped(spark, monkeypatch):
+    """Over 64 lists of which a quarter is probed: at least 0.9 of the true neighbours are found."""
+    chance = np.random.default_rng(6)
+    n, dim = 17_000, 24
+    centres = chance.normal(size=(200, dim))
+    x = (centres[chance.integers(0, 200, n)] + 0.4 * chance.normal(size=(n, dim))).astype(np.float32)
+    table = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": x.tolist()}))
+    monkeypatch.setattr(adscan, "PROBES", 0.25)
+    seen, plain = [], adscan.probed
+    monkeypatch.setattr(adscan, "fitted", lambda rows, count, f=adscan.fitted: (lambda r: (seen.append(len(r[1])), r)[1])(f(rows, count)))
+    got = {(r["query_id"], r["vec_id"]) for r in adscan.search(table, F.col("vec_id") % 50 == 0).collect()}
+    assert seen[0] >= 64 and plain(np.arange(seen[0]), np.ones(seen[0], int) * 99, 16, 5).size == 16
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    score = unit[::50] @ unit.T
+    score[np.arange(len(score)), np.arange(0, n, 50)] = -2
+    true = {(50 * q, int(i)) for q, row in enumerate(score) for i in np.argsort(-row, kind="stable")[:5]}
+    assert len(got) == len(true) and len(got & true) >= 0.9 * len(true)
+
+
+def test_more_lists_are_probed_until_enough_is_found():
+    sizes = np.array([1, 0, 2, 9, 9])
+    near = np.array([1, 0, 2, 4, 3])
+    assert adscan.probed(near, sizes, 1, 5).tolist() == [1, 0, 2, 4]
+    assert adscan.probed(near, sizes, 5, 1).tolist() == [1, 0, 2, 4, 3]
+    assert adscan.probed(near, sizes, 1, 99).tolist() == [1, 0, 2, 4, 3]
+
+
 @pytest.mark.parametrize("search", [mtree.search, adscan.search])
 def test_awkward_rows(spark, search):
     odd = spark.createDataFrame([*ODD, (400, [1.0, 1.0], 0), (401, [1.0, 1.0], 0), (403, [1.0, 1.0], 0)], SCHEMA)
