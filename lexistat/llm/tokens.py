@@ -27,6 +27,7 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END = 2
 
 KEPT_PIECES = 250_000  # in each of two generations
+KEPT_BARE = 450_000  # where words are kept without their spaces, nothing else is held by the worker
 LONG_TEXT = 1 << 20  # characters cut at once
 BATCH_CHARS = 1 << 20
 
@@ -219,7 +220,7 @@ class Encoder:
         vocabulary = self.library.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_word[[number for name, number in vocabulary.items() if name.endswith("</w>")]] = True
-        self.seen = Seen(self._learn)
+        self.seen = Seen(self._learn, KEPT_PIECES if keeps_space else KEPT_BARE)
 
     def _known(self, file: dict) -> bool:
         """Whether the vocabulary is cut at white space in the way that ``keeps_space`` says."""

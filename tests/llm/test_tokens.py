@@ -37,6 +37,7 @@ def test_pieces_give_the_ids_of_whole_texts(kind):
 @pytest.mark.parametrize("kind", KINDS)
 def test_small_generations_and_long_texts(kind, monkeypatch):
     monkeypatch.setattr(tokens, "KEPT_PIECES", 50)
+    monkeypatch.setattr(tokens, "KEPT_BARE", 50)
     monkeypatch.setattr(tokens, "LONG_TEXT", 300)
     monkeypatch.setattr(tokens, "BATCH_CHARS", 500)
     chance = random.Random(1)
