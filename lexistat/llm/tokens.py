@@ -27,7 +27,7 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END = 2
 
 KEPT_PIECES = 250_000  # in each of two generations
-KEPT_BARE = 450_000  # where words are kept without their spaces, nothing else is held by the worker
+KEPT_BARE = 700_000  # where words are kept without their spaces, nothing else is held by the worker
 LONG_TEXT = 1 << 20  # characters cut at once
 BATCH_CHARS = 1 << 20
 
