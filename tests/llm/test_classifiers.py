@@ -32,6 +32,31 @@ def test_bradley_terry_orders_pairs():
     assert quality.cut(np.array([3.0, 1.0, 2.0, 9.0]), np.ones(4), 0.5) == 2.5
 
 
+def test_all_labelled_documents_are_ranked(documents, spark):
+    """More of a label than the former sample of 5,000 held: each plays, and the threshold is that of all scores."""
+    rows = [(i, f"Good text {i}." if i % 4 else f"{i} ## !! {i}") for i in range(24_000)]
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    docs = documents(rows)
+    model = quality.fit(docs, labels, F.lit(True))
+    scores = sorted(r["score"] for r in quality.score(docs, model, F.col("doc_id")).collect())
+    assert sum(s < 0.5 for s in scores) == 6_000
+    known = spark.range(30).select(F.col("id").alias("doc_id"), (F.col("id") >= 10).cast("int").alias("label"),
+                                   F.array(F.col("id").cast("double")).alias("x"))
+    for some, low, high in ((known, 10, 20), (known.withColumn("label", 1 - F.col("label")), 20, 10)):
+        pairs = [r["d"][0] for r in quality.played(some, low, high, 3).collect()]
+        sign = 1 if low == 10 else -1
+        assert len(pairs) == 60 and all(d * sign > 0 for d in pairs)
+        # Each of the twenty plays three times, each of the ten six times.
+        assert sum(pairs) * sign == 3 * sum(range(10, 30)) - 6 * sum(range(10))
+
+
+def test_steps_over_a_table_are_those_over_arrays(spark):
+    chance = np.random.default_rng(2)
+    d = chance.normal(size=(300, 3)) + np.array([0.5, 0.0, -0.3])
+    table = spark.createDataFrame([([float(v) for v in row],) for row in d], "d array<double>")
+    assert np.allclose(quality.ranked(table, np.array([1.0, 2.0, 0.5])), quality.bradley_terry(d / [1.0, 2.0, 0.5], 0 * d))
+
+
 def biased(documents, spark):
     """Group names occur in toxic texts more often than in clean ones; abuse is what makes them toxic."""
     chance = random.Random(4)
