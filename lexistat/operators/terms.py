@@ -7,39 +7,79 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexistat.functions.text import STOP_WORDS, SUFFIX_RULES, clean_text, tokens, without_stop_words
+from lexistat.functions.text import STOP_WORDS, SUFFIX_RULES, clean_text
 from lexistat.operators.ordering import global_index
 from lexistat.session import TEXT_BYTES, few_splits, shuffle_parts, spread, stage
 
 BLOCK_DOCUMENTS = 4096
+PIECE_WORDS = 128  # of a text whose words are looked up together, one after the other
 
 
 def cleaned(
     docs: DataFrame, text: str = "text", key: str = "doc_id",
     stop_words: Iterable[str] = STOP_WORDS, lemmas: DataFrame | None = None, place: bool = False,
+    block: int | None = None,
 ) -> DataFrame:
     """``(key, clean)``: cleaned text, with lemmas from ``lemmas(token, lemma)`` if given.
 
-    With ``place`` the rows come hashed by ``key``. A large table is cleaned before it is moved,
-    as cleaning makes it smaller.
+    With ``place`` the rows come hashed by ``key``; with ``block`` they come hashed by ranges of so many ids,
+    whose number is a third column ``block``. A large table is cleaned before it is moved, as cleaning makes
+    it smaller.
     """
     docs = docs.select(key, text)
+    if lemmas is not None:
+        return _with_lemmas(docs, text, key, stop_words, lemmas)
     small, parts = few_splits(docs), shuffle_parts(docs, TEXT_BYTES)
-    docs = spread(docs, key)
-    if lemmas is None:
-        clean = docs.select(key, clean_text(F.col(text), stop_words).alias("clean"))
-        return clean.repartition(parts, key) if place and not small else clean
-    words = without_stop_words(tokens(F.col(text)), stop_words)
-    each = docs.select(key, F.posexplode_outer(words).alias("place", "token"))
-    word = F.struct("place", F.coalesce("lemma", "token").alias("word"))
+    more = [] if block is None else [F.expr(f"`{key}` div {block}").alias("block")]
+    by = key if block is None else "block"
+    if small:
+        docs = docs.select(key, text, *more).repartition(parts, by)
+    clean = docs.select(key, clean_text(F.col(text), stop_words).alias("clean"), *(["block"] if small and more else more))
+    return clean if small or not (place or more) else clean.repartition(parts, by)
+
+
+def _with_lemmas(
+    docs: DataFrame, text: str, key: str, stop_words: Iterable[str], lemmas: DataFrame
+) -> DataFrame:
+    """Rows of one key are one text, their words in the order of their places.
+
+    Texts are cut into pieces of ``PIECE_WORDS``. Only the distinct tokens of a piece look for their lemmas, and
+    only what they find moves to the piece, where words are replaced in place.
+    """
+    words = F.split(clean_text(F.col(text), stop_words), " ")
+    each = spread(docs, key).select(key, F.coalesce(words, F.array(F.lit(""))).alias("words"))
+    starts = F.sequence(F.lit(0), F.size("words") - 1, F.lit(PIECE_WORDS))
+    cut = F.transform(
+        starts, lambda s: F.struct(s.alias("start"), F.array_join(F.slice("words", s + 1, PIECE_WORDS), " ").alias("piece"))
+    )
+    pieces = stage(each.select(key, F.inline(cut)), "pieces")
     # One lemma per token, the first in order, or a token listed twice would be counted twice.
-    known = lemmas.groupBy("token").agg(F.min("lemma").alias("lemma"))
-    return (
-        each.join(known, "token", "left")
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_list(word)).alias("words"))
-        .select(key, F.array_join("words.word", " ").alias("clean"))
+    known = lemmas.groupBy("token").agg(F.min("lemma").alias("lemma")).where("lemma <> token")
+    tokens_of = pieces.select(key, "start", F.explode(F.array_distinct(F.split("piece", " "))).alias("token"))
+    found = tokens_of.where("token <> ''").join(known, "token").select(
+        key, "start", F.lit(None).cast("string").alias("piece"), F.struct("token", "lemma").alias("pair")
+    )
+    nothing = F.lit(None).cast(found.schema["pair"].dataType).alias("pair")
+    both = pieces.select(key, "start", "piece", nothing).unionByName(found)
+    held = both.repartition(shuffle_parts(docs, TEXT_BYTES), key).groupBy(key, "start").agg(
+        F.collect_list("piece").alias("pieces"), F.map_from_entries(F.collect_set("pair")).alias("lemma_of")
+    )
+
+    def lemma(word: Column) -> Column:
+        return F.coalesce(F.try_element_at("lemma_of", word), word)
+
+    def in_places(piece: Column) -> Column:
+        words = F.filter(F.split(piece, " "), lambda w: w != "")
+        return F.transform(words, lambda w, i: F.struct(i.alias("place"), lemma(w).alias("word")))
+
+    # The pieces of repeated rows that begin at one place are put together word by word.
+    alone = F.transform(F.split(F.get("pieces", F.lit(0)), " "), lemma)
+    together = F.sort_array(F.flatten(F.transform("pieces", in_places)))["word"]
+    done = held.select(
+        key, "start", F.array_join(F.when(F.size("pieces") == 1, alone).otherwise(together), " ").alias("piece")
     )
+    listed = F.sort_array(F.collect_list(F.struct("start", "piece")))["piece"]
+    return done.groupBy(key).agg(F.array_join(listed, " ").alias("clean"))
 
 
 def suffix_rules(spark: SparkSession, rules: Iterable[tuple[str, str]] = SUFFIX_RULES) -> DataFrame:

@@ -1,5 +1,6 @@
 """Partitions hold a bounded share of a table of any size, and of a join no more than its tables give."""
 
+from lexistat.operators import terms
 from lexistat.session import SORT_BYTES, TEXT_BYTES, known_size, shuffle_parts
 
 
@@ -15,3 +16,13 @@ def test_partitions_grow_with_the_table(spark):
     assert known_size(rows) == 1 << 29
     assert shuffle_parts(rows, TEXT_BYTES) == (1 << 29) // TEXT_BYTES
     assert shuffle_parts(rows) == (1 << 29) // SORT_BYTES
+
+
+def test_lemmas_of_long_and_repeated_texts(spark):
+    long = " ".join(f"w{i % 3000}s" for i in range(5000))
+    docs = spark.createDataFrame([(1, long), (2, "banks b banks"), (2, "a1 lend"), (3, None), (None, "banks")], "doc_id bigint, text string")
+    lemmas = spark.createDataFrame([("banks", "bank"), ("banks", "zank"), ("w7s", "w7"), ("", "x"), ("lend", None)], "token string, lemma string")
+    cleaned = terms.cleaned(docs, lemmas=lemmas)
+    assert "posexplode" not in cleaned._jdf.queryExecution().executedPlan().toString()
+    clean = {r["doc_id"]: r["clean"] for r in cleaned.collect()}
+    assert clean == {1: long.replace("w7s", "w7"), 2: "a1 bank b lend bank", 3: "", None: "bank"}
