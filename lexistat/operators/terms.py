@@ -130,11 +130,13 @@ def postings(counts: DataFrame, key: str = "doc_id", block: int = BLOCK_DOCUMENT
     """``(term, block, postings)``: ids in order, one entry per occurrence.
 
     A term's list is cut by ranges of ``block`` ids, so a term that is in every document gives
-    many short lists and not one that grows with the table.
+    many short lists and not one that grows with the table. Counts that carry their ``block`` along, hashed
+    by it, are listed where they are.
     """
     entry = F.struct(F.col(key).alias("id"), "tf")
+    of = F.col("block") if "block" in counts.columns else F.expr(f"`{key}` div {block}").alias("block")
     lists = (
-        counts.groupBy("term", F.expr(f"`{key}` div {block}").alias("block"))
+        counts.groupBy("term", of)
         .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
     )
     repeated = F.transform("entries", lambda e: F.array_repeat(e["id"], e["tf"].cast("int")))

@@ -152,7 +152,8 @@ def _counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def inverted_index(spark: SparkSession, folder: str) -> DataFrame:
-    lists = terms.postings(_counts(spark, folder), block=BLOCK)
+    clean = terms.cleaned(_documents(spark, folder), block=BLOCK)
+    lists = terms.postings(terms.term_counts(clean, F.split("clean", " "), carry=("block",)), block=BLOCK)
     ids = F.transform("postings", lambda i: i.cast("string"))
     return lists.select("term", "block", F.array_join(ids, ",").alias("postings"))
 

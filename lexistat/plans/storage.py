@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexistat.functions import html
-from lexistat.functions.text import clean_text
 from lexistat.operators import records, terms
 from lexistat.plans import retrieval, sql
 from lexistat.plans.crawl import PAGE_HREF
@@ -43,9 +42,9 @@ WITH {sql.PUBLICATIONS} SELECT id, title, year, month, day, abstract, detail, li
 
 def postings_json(spark: SparkSession, folder: str) -> DataFrame:
     """The inverted index as JSON in folders by first character, and back."""
-    docs = table(spark, folder, "documents")
-    clean = docs.select("doc_id", clean_text(F.col("text")).alias("clean"))
-    lists = terms.postings(terms.term_counts(clean, F.split("clean", " ")), block=retrieval.BLOCK)
+    clean = terms.cleaned(table(spark, folder, "documents"), block=retrieval.BLOCK)
+    counts = terms.term_counts(clean, F.split("clean", " "), carry=("block",))
+    lists = terms.postings(counts, block=retrieval.BLOCK)
     path = _folder(spark, "postings")
     publications.write_postings(lists, path)
     read = spark.read.schema("term string, block bigint, postings array<bigint>").json(path)

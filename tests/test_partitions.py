@@ -1,5 +1,7 @@
 """Partitions hold a bounded share of a table of any size, and of a join no more than its tables give."""
 
+from pyspark.sql import functions as F
+
 from lexistat.operators import terms
 from lexistat.session import SORT_BYTES, TEXT_BYTES, known_size, shuffle_parts
 
@@ -18,6 +20,16 @@ def test_partitions_grow_with_the_table(spark):
     assert shuffle_parts(rows) == (1 << 29) // SORT_BYTES
 
 
+def test_lists_are_made_where_the_texts_of_a_block_are(spark):
+    docs = spark.createDataFrame([(i, f"bank {'risk ' * (i % 3)}c{i % 5}") for i in range(40)] + [(None, "bank"), (3, "bank")],
+                                 "doc_id bigint, text string")
+    placed = terms.cleaned(docs, block=4)
+    lists = terms.postings(terms.term_counts(placed, F.split("clean", " "), carry=("block",)), block=4)
+    assert lists._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    plain = terms.postings(terms.term_counts(terms.cleaned(docs), F.split("clean", " ")), block=4)
+    assert sorted(map(str, lists.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_lemmas_of_long_and_repeated_texts(spark):
     long = " ".join(f"w{i % 3000}s" for i in range(5000))
     docs = spark.createDataFrame([(1, long), (2, "banks b banks"), (2, "a1 lend"), (3, None), (None, "banks")], "doc_id bigint, text string")
