@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lexistat.operators import terms
+from lexistat.operators import terms, topk
 from lexistat.session import SORT_BYTES, TEXT_BYTES, known_size, shuffle_parts
 
 
@@ -38,3 +38,13 @@ def test_lemmas_of_long_and_repeated_texts(spark):
     assert "posexplode" not in cleaned._jdf.queryExecution().executedPlan().toString()
     clean = {r["doc_id"]: r["clean"] for r in cleaned.collect()}
     assert clean == {1: long.replace("w7s", "w7"), 2: "a1 bank b lend bank", 3: "", None: "bank"}
+
+
+def test_tops_stand_in_the_first_row(spark):
+    rows = spark.createDataFrame([(1, "a", 1, 1, 0.5, 0), (2, "a", 0, 1, 0.7, 0), (3, "a", 1, 0, None, 1)],
+                                 "doc_id bigint, term string, n bigint, tf bigint, w double, block bigint")
+    ranged = rows.repartitionByRange(3, "term", "block")
+    found = topk.topped(ranged)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    tops = {tuple(r) for r in found.where("top is not null").select("term", "block", "top", "listed").collect()}
+    assert tops == {tuple(r) for r in topk.block_tops(rows).collect()} and found.count() == 3
