@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from lexistat.operators import terms, topk
-from lexistat.session import SORT_BYTES, TEXT_BYTES, known_size, shuffle_parts
+from lexistat.operators import search, terms, topk
+from lexistat.session import HOME, SORT_BYTES, TEXT_BYTES, known_size, shuffle_parts
 
 
 def test_a_join_is_as_large_as_its_tables(spark):
@@ -48,3 +48,35 @@ def test_tops_stand_in_the_first_row(spark):
     assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     tops = {tuple(r) for r in found.where("top is not null").select("term", "block", "top", "listed").collect()}
     assert tops == {tuple(r) for r in topk.block_tops(rows).collect()} and found.count() == 3
+
+
+def moves(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("ENSURE_REQUIREMENTS")
+
+
+def test_counts_stay_at_their_homes(spark):
+    docs = spark.createDataFrame([(i, f"bank {'risk ' * (i % 3)}c{i % 5}") for i in range(40)] + [(None, "bank"), (3, "bank"), (50, None)],
+                                 "doc_id bigint, text string")
+    counts, parts = terms.homed_counts(terms.cleaned(docs), F.split("clean", " "))
+    idf = terms.counted_idf(counts, docs.select("doc_id"), parts)
+    weights = terms.weighted(counts, terms.for_lookup(idf), "doc_id", parts)
+    assert moves(weights) == 0
+    plain = terms.normalised(terms.term_counts(terms.cleaned(docs), F.split("clean", " ")), terms.for_lookup(idf), "doc_id")
+    wanted, found = (sorted(map(str, x.select("doc_id", "term", "tf", F.round("w", 9)).collect())) for x in (plain, weights))
+    assert found == wanted
+
+
+def test_an_index_is_stored_where_its_texts_are(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"bank {'risk ' * (i % 3)}c{i % 5}") for i in range(80)], "doc_id bigint, text string")
+    rows, idf = search._built(docs, "text", "doc_id", (), None)
+    by = (HOME,)
+    assert moves(topk.topped(topk.blocked(rows, by=by), by=by)) == 0
+    search.store_index(docs, str(tmp_path / "index"), stop_words=())
+    read, stored = search.read_index(spark, str(tmp_path / "index"))
+    shown = [sorted(map(str, x.select("doc_id", "term", "n", "tf", F.round("w", 9)).collect())) for x in (read, rows)]
+    assert shown[0] == shown[1] and sorted(map(str, stored.collect())) == sorted(map(str, idf.collect()))
+    asked = search.query_terms(spark.createDataFrame([(1, "risk c3"), (2, "bank")], "query_id int, query string"), stored)
+    best = search.stored_scores(spark, str(tmp_path / "index"), asked, 2).scored
+    even = [sorted(map(str, search.ranked_page(x.withColumn("score", F.round("score", 9)), 1, 2).collect()))
+            for x in (best, search.scores(rows.drop(HOME), asked))]
+    assert even[0] == even[1]
