@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from lexistat.functions.text import word_terms
 from lexistat.operators.regression import split_by_hash
-from lexistat.operators.terms import counted_weights, tfidf_weights
-from lexistat.session import placed, stage
+from lexistat.operators.terms import counted_weights, homed_counts, weighted
+from lexistat.session import HOME, homes, stage
 
 SMOOTHING = 1.0
 TRAINING_SHARE = 0.8
@@ -39,7 +39,7 @@ def train(
     """Fit on ``(key, text, label)``. Class priors are not smoothed, term probabilities are."""
     terms = word_terms(F.col(text)) if terms is None else terms
     labelled = docs.select(key, text, F.col(label).alias("label")).where("label is not null")
-    with_label, idf = counted_weights(placed(labelled, key), terms, key, ("label",))
+    with_label, idf = counted_weights(labelled, terms, key, ("label",))
     sums = stage(with_label.groupBy("label", "term").agg(F.sum("w").alias("s")), "class_terms")
     size = idf.agg(F.count("*").alias("v")).scalar()
     totals = sums.groupBy("label").agg(F.sum("s").alias("total"))
@@ -65,22 +65,29 @@ def _scored(
     """``(key, scores)``: one ``struct<label, score>`` per label.
 
     A label starts with its prior and with what all known terms weigh if it had seen none of them
-    (rows without a label carry that weight); the terms it has seen correct this. So the join
-    carries the pairs that exist, the texts are weighted once, and a document without a known
-    term gets the priors.
+    (rows without a label carry that weight); the terms it has seen correct this. So the lookup
+    brings the pairs that exist, with the terms' idf, to the homes of the texts; these are weighted once, and a
+    document without a known term gets the priors.
     """
     if not model.priors.take(1):
         raise ValueError("the model has not been trained: no labelled document")
     terms = word_terms(F.col(text)) if terms is None else terms
-    weights = tfidf_weights(placed(docs.select(key, text), key), terms, model.idf, key)
     nobody = F.lit(None).cast(model.terms.schema["label"].dataType).alias("label")
-    gains = model.terms.select("label", "term", "lift").unionByName(
-        model.idf.select(nobody, "term", F.lit(1.0).alias("lift"))
+    none = F.lit(None).cast("double").alias("idf")
+    gains = model.terms.select("term", none, "label", "lift").unionByName(
+        model.idf.select("term", "idf", nobody, F.lit(1.0).alias("lift"))
     )
+    texts = docs.select(key, text)
+    known = gains.repartition(homes(texts), "term").groupBy("term").agg(
+        F.max("idf").alias("idf"), F.collect_list(F.struct("label", "lift")).alias("gains")
+    ).where("idf is not null")
+    counts, count = homed_counts(texts, terms, key, table=known)
+    weights = weighted(counts, known, key, count)
     parts = (
-        weights.join(gains, "term")
-        .groupBy(key, "label")
+        weights.select(HOME, key, "w", F.inline("gains"))
+        .groupBy(HOME, key, "label")
         .agg(F.sum(F.col("w") * F.col("lift")).alias("part"))
+        .drop(HOME)
         .unionByName(docs.select(key, nobody, F.lit(0.0).alias("part")))
     )
     # All that a document's labels have gained as one map, and what its terms weigh in all; then each label
